@@ -11,27 +11,25 @@ an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, id_and_text, materialize, text_slices
+from .common import BoundedCache, id_and_text, materialize
 
 CAPACITY, END = 4096, 1
 BUCKET_ROWS = 20_000
-
-#: White space as the tokenizer's regular expressions have it (Unicode's property); str.split() would also cut at U+001C to U+001F.
-_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+SLICE_ROWS = 2000  # documents whose words are numbered together
 
 
 class WordIds:
-    """Ids of a text as little-endian unsigned 32-bit numbers. The tokenizer drops white space and never joins across it, so
+    """Ids of texts as little-endian unsigned 32-bit numbers. The tokenizer drops white space and never joins across it, so
     words are encoded one by one and remembered."""
 
     def __init__(self, path: str):
@@ -42,25 +40,46 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache = BoundedCache(400_000)
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(texts), 64):
-            part = [_SPACE.split(t) for t in texts[at : at + 64]]
-            new = {w for words in part for w in words if w not in self.cache}
-            if len(new) + len(self.cache) > self.cache.limit:
-                self.cache.clear()
-                new = {w for words in part for w in words}
-            new = list(new)
+        self.cache = BoundedCache(1_000_000)
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        out = list(map(self.cache.get, words))
+        new = [w for w, ids in zip(words, out, strict=True) if ids is None]
+        if new:
+            self.cache.room_for(len(new))
             for lo in range(0, len(new), 4096):
                 some = new[lo : lo + 4096]
                 for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                     self.cache[w] = np.array(e.ids, dtype="<u4").tobytes()
-            get = self.cache.__getitem__
-            out += [b"".join(map(get, words)) for words in part]
+            out = [self.cache[w] if ids is None else ids for w, ids in zip(words, out, strict=True)]
         return out
 
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text. Words are cut and numbered by Arrow, so Python sees each distinct word of the array once.
+
+        ASCII words that differ in case or in one ending stop or comma only are looked up as one: the tokenizer lowers case
+        and cuts between letters and marks. Other white space than ASCII's stays within words, where the tokenizer drops it."""
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        whole = coded.dictionary
+        core = pc.ascii_rtrim(whole, ".,")
+        cut = pc.subtract(pc.binary_length(whole), pc.binary_length(core))
+        plain = pc.and_(pc.and_(pc.string_is_ascii(whole), pc.match_substring_regex(core, "[A-Za-z0-9]$")), pc.less_equal(cut, 1))
+        core = pc.if_else(plain, pc.ascii_lower(core), whole).dictionary_encode()
+        known = self._known([*core.dictionary.to_pylist(), "", ".", ","])
+        n = len(known) - 3
+        mark = np.where((plain.to_numpy(zero_copy_only=False)) & (cut.to_numpy() == 1), np.where(pc.ends_with(whole, ".").to_numpy(zero_copy_only=False), n + 1, n + 2), n)
+        flat = np.frombuffer(b"".join(known), dtype="<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        begin = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        codes = np.stack((core.indices.to_numpy()[at], mark[at]), axis=1).ravel()  # each word as its core and its ending mark
+        each = sizes[codes]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(begin[codes] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate(([0], ends))[2 * (words.offsets.to_numpy() - words.offsets[0].as_py())]
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
 
 @lru_cache(maxsize=2)
 def load(path: str) -> WordIds:
@@ -71,12 +90,12 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
     """(doc_id, piece, start, length, ids_crc32): each document's ids and the end id, cut only beyond the capacity."""
 
     def each(batches):
-        ids_of, end, size = load(path), np.array([END], "<u4").tobytes(), 4 * capacity
-        for ids, texts in text_slices(batches):
-            out = []
-            for doc, data in zip(ids, ids_of.encode_all(texts), strict=True):
-                data += end
-                out += [(doc, at // size, at // 4, len(data[at : at + size]) // 4, zlib.crc32(data[at : at + size])) for at in range(0, len(data), size)]
+        ids_of, end = load(path), np.array([END], "<u4")
+        for batch, at in ((b, at) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
+            part, out = batch.slice(at, SLICE_ROWS), []
+            for doc, ids in zip(part.column(0).to_pylist(), ids_of.encode_all(part.column(1)), strict=True):
+                ids = np.concatenate((ids, end))
+                out += [(doc, lo // capacity, lo, len(ids[lo : lo + capacity]), zlib.crc32(ids[lo : lo + capacity])) for lo in range(0, len(ids), capacity)]
             a, b, c, d, e = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(d, pa.int64()), pa.array(e, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
