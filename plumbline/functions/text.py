@@ -107,3 +107,19 @@ def excerpt(line: Column, at: Column, before: int = 180, after: int = 220) -> Co
     """The stretch of a line around a 1-based position."""
     start = F.greatest(F.lit(1), at - before)
     return F.substring(line, start, at - start + after)
+
+
+CELL = r"^(\(-?\d[\d,]*(\.\d+)?\)|-?\d[\d,]*(\.\d+)?)%?\*{0,2}$"
+
+
+def longest_run(tokens: Column) -> Column:
+    """struct(n, last): the length of the longest run of amounts and nil marks and the place of its last token, from 0; of equally long
+    runs the last. One pass over the array."""
+    start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("i"), F.lit(0).alias("n"), F.lit(-1).alias("last"))
+
+    def step(acc: Column, t: Column) -> Column:
+        run = F.when(t.rlike(CELL) | t.isin("-", "–", "—", "nil", "Nil", "NIL"), acc["run"] + 1).otherwise(0)
+        better = (run > 0) & (run >= acc["n"])
+        return F.struct(run.alias("run"), (acc["i"] + 1).alias("i"), F.when(better, run).otherwise(acc["n"]).alias("n"), F.when(better, acc["i"]).otherwise(acc["last"]).alias("last"))
+
+    return F.aggregate(tokens, start, step, lambda a: F.struct(a["n"].alias("n"), a["last"].alias("last")))

@@ -10,6 +10,7 @@ from ..functions import ratios as R
 from ..functions import text as X
 from ..operators import flags as FL
 from ..operators import history as H
+from ..operators import layout as LY
 from ..operators import liquidity as L
 from ..operators import overlays as O
 from ..operators import ranking as RK
@@ -764,3 +765,56 @@ def union_sources_missing_columns(spark, sf):
     b = e.where("event_type = 'purchase'").select(F.lit("dividend").alias("origin"), C("event_id").cast("string").alias("id"), C("event_type").alias("announcement"))
     c = e.groupBy("user_id").agg(F.count("*").cast("string").alias("volume")).select(F.lit("liquidity").alias("origin"), C("user_id").cast("string").alias("id"), "volume")
     return a.unionByName(b, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
+
+
+@query(r"""WITH ll AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), ' ')) AS t, generate_subscripts(string_split(coalesce(text, ''), ' '), 1) - 1 AS i FROM documents),
+c AS (SELECT *, regexp_matches(t, '^(\(-?\d[\d,]*(\.\d+)?\)|-?\d[\d,]*(\.\d+)?)%?\*{0,2}$') OR t IN ('-', '–', '—', 'nil', 'Nil', 'NIL') AS ok FROM ll),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM c WHERE ok), r AS (SELECT doc_id, island, count(*) AS n, max(i) AS last FROM g GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, last DESC) AS k FROM r)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS INT) AS n, CAST(coalesce(last, -1) AS INT) AS last FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id AND k = 1""")
+def longest_numeric_run(spark, sf):
+    run = X.longest_run(F.split(F.coalesce("text", F.lit("")), " ", -1))
+    return A.table(spark, sf, "documents").select("doc_id", run.alias("r")).select("doc_id", "r.n", "r.last")
+
+
+def _report_pages(spark, sf):
+    """Suppliers' figures of the last year as the pages of a report: income, position and cash-flow statement after a cover page."""
+    w = A.with_previous(A.annual(spark, sf)).where(C("fy") == A.LAST_FY)
+    whole = lambda c: F.when(F.round(C(c) / 1000) < 0, F.concat(F.lit("("), F.format_number(F.abs(F.round(C(c) / 1000)), 0), F.lit(")"))).otherwise(F.coalesce(F.format_number(F.round(C(c) / 1000), 0), F.lit("-")))
+    row = lambda label, m: F.concat(F.lit(label + " "), whole(m), F.lit(" "), whole(f"{m}_prev"))
+    head = "Group\nFor the year ended 31 December 2000 1999\nRs.'000 Rs.'000"
+    page = lambda title, *rows: F.concat_ws("\n", F.lit(title), F.lit(head), *rows)
+    fill = lambda *labels: [F.lit(f"{x} 1,000 2,000") for x in labels]
+    pages = F.array(
+        F.lit("Report of the directors"),
+        page("STATEMENT OF PROFIT OR LOSS", row("Revenue", "revenue"), *fill("Cost of sales", "Gross profit", "Other income", "Administrative expenses"), row("Profit for the year", "net_profit")),
+        page("STATEMENT OF FINANCIAL POSITION", *fill("Inventories", "Trade and other receivables", "Stated capital"), row("Total assets", "total_assets"), row("Total equity", "total_equity"), row("Borrowings", "total_debt"), row("Total liabilities", "total_liabilities")),
+        page("STATEMENT OF CASH FLOWS", row("Net cash generated from operating activities", "operating_cash_flow"), row("Purchase of property, plant and equipment", "capital_expenditure"), *fill("Net cash used in investing activities", "Net cash used in financing activities", "Net increase in cash and cash equivalents")),
+    )
+    return w.select("ticker", F.posexplode(pages).alias("page_no", "text")).select(C("ticker").alias("doc_id"), (C("page_no") + 1).alias("page_no"), "text")
+
+
+_SHOWN = ("revenue", "net_profit", "total_assets", "total_equity", "total_debt", "total_liabilities", "operating_cash_flow", "capital_expenditure")
+
+
+@query(f"""WITH {A.BASE_PREV}, v AS (SELECT * FROM (UNPIVOT (SELECT ticker, {', '.join(_SHOWN)} FROM p WHERE fy = 2000) ON {', '.join(_SHOWN)} INTO NAME metric VALUE value)), q AS (SELECT * FROM (UNPIVOT (SELECT ticker, {', '.join(f'{m}_prev AS {m}' for m in _SHOWN)} FROM p WHERE fy = 2000) ON {', '.join(_SHOWN)} INTO NAME metric VALUE prev))
+SELECT ticker AS doc_id, metric, round(value / 1000) * 1000 + 0.0 AS value, round(prev / 1000) * 1000 + 0.0 AS previous_value, CAST(CASE WHEN metric IN ('operating_cash_flow', 'capital_expenditure') THEN 4 WHEN metric IN ('revenue', 'net_profit') THEN 2 ELSE 3 END AS INT) AS page FROM v JOIN q USING (ticker, metric)""")
+def layout_extract_facts(spark, sf):
+    """What the reader finds on pages that are written from known figures."""
+    pages = _report_pages(spark, sf)
+    docs = pages.select("doc_id").distinct().withColumn("kind", F.lit("annual_report"))
+    f = LY.extract_facts(pages, docs).where(C("metric").isin(*_SHOWN))
+    return f.select("doc_id", "metric", (C("value").cast("double") + 0.0).alias("value"), (C("previous_value").cast("double") + 0.0).alias("previous_value"), "page")
+
+
+@query()
+def statement_score_band_join(spark, sf):
+    """The pages that the reader takes for the three statements, by score and place."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("map<string, int>")
+    def found(texts):
+        return texts.map(lambda t: {k: i + 1 for k, i in LY.locate([LY.Page(n + 1, LY.lines_of(x)) for n, x in enumerate(t)]).items()})
+
+    g = _report_pages(spark, sf).groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]).alias("texts"))
+    return g.select("doc_id", F.explode(found("texts")).alias("statement", "page"))
