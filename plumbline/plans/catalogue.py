@@ -782,7 +782,7 @@ def _report_pages(spark, sf):
     w = A.with_previous(A.annual(spark, sf)).where(C("fy") == A.LAST_FY)
     whole = lambda c: F.when(F.round(C(c) / 1000) < 0, F.concat(F.lit("("), F.format_number(F.abs(F.round(C(c) / 1000)), 0), F.lit(")"))).otherwise(F.coalesce(F.format_number(F.round(C(c) / 1000), 0), F.lit("-")))
     row = lambda label, m: F.concat(F.lit(label + " "), whole(m), F.lit(" "), whole(f"{m}_prev"))
-    head = "Group\nFor the year ended 31 December 2000 1999\nRs.'000 Rs.'000"
+    head = "Group\nFor the year ended 31 December 2001 2000\nRs.'000 Rs.'000"
     page = lambda title, *rows: F.concat_ws("\n", F.lit(title), F.lit(head), *rows)
     fill = lambda *labels: [F.lit(f"{x} 1,000 2,000") for x in labels]
     pages = F.array(
