@@ -6,8 +6,6 @@ further columns are ignored by `quality_report` and kept by `keep_good`.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,12 +22,14 @@ STOP_WORDS = (
     "el los las y o del se con su al lo como más no una para por "
     "il di che e per non sono della gli nel os as da em uma não het een van op te"
 ).split()
-#: (measure, least, most); None leaves an end open. A document is kept if it passes the base rules and every row.
+#: (measure, least, most, words from which the row holds); None leaves an end open. A document is kept if it passes the base rules
+#: and every row; a short text may well have no function word.
 THRESHOLDS = (
-    ("mean_word_chars", 2.0, 12.0),
-    ("symbol_ratio", None, 0.1),
-    ("stop_ratio", 0.06, None),
-    ("dup_line_ratio", None, 0.5),
+    ("mean_word_chars", 2.0, 12.0, 0),
+    ("symbol_ratio", None, 0.1, 0),
+    ("stop_ratio", 0.06, None, 40),
+    ("dup_line_ratio", None, 0.5, 0),
+    ("same_next_ratio", None, 0.2, 0),
 )
 
 
@@ -66,26 +66,31 @@ def _measures(rows: DataFrame) -> DataFrame:
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": repeated_words(F.col("_words")),
+        "n_same_next": F.size(F.filter("_words", lambda w, i: w == F.get("_words", i - 1))).cast("long"),
         "n_stop_words": F.size(F.filter("_words", lambda w: F.rtrim(F.lower(w), F.lit(".,;:!?")).isin(STOP_WORDS))).cast("long"),
     })
     return rows.withColumns({
         "mean_word_chars": _ratio(F.col("word_chars"), F.col("n_words")),
         "symbol_ratio": _ratio(F.col("n_symbols"), F.col("n_words")),
         "stop_ratio": _ratio(F.col("n_stop_words"), F.col("n_words")),
+        "same_next_ratio": _ratio(F.col("n_same_next"), F.col("n_words")),
         "dup_line_ratio": _ratio(F.col("n_dup_lines"), F.col("n_lines")),
     })
 
 
 def _passes(thresholds) -> Column:
-    tests = [F.col(m) >= low for m, low, _ in thresholds if low is not None] + [F.col(m) <= high for m, _, high in thresholds if high is not None]
-    return reduce(Column.__and__, tests, F.lit(True))
+    out = F.lit(True)
+    for measure, least, most, words in thresholds:
+        for test in ([F.col(measure) >= least] if least is not None else []) + ([F.col(measure) <= most] if most is not None else []):
+            out = out & (test if not words else (F.col("n_words") < words) | test)
+    return out
 
 
-REPORT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words")
+REPORT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_same_next", "n_stop_words")
 
 
 def quality_report(docs: DataFrame, thresholds=THRESHOLDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_stop_words, base_failed, kept)"""
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_same_next, n_stop_words, base_failed, kept)"""
     rows = _measures(id_and_text(docs, id_col, text_col)).withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     return rows.select("doc_id", *REPORT, "base_failed", (~F.col("base_failed") & _passes(thresholds)).alias("kept"))
 

@@ -24,7 +24,7 @@ FROM found LEFT JOIN named USING (doc_id)"""
 
 def op4_sql() -> str:
     sep = r"[\x20\x09-\x0D]"
-    tests = " AND ".join([f"{m} >= {low}" for m, low, _ in quality.THRESHOLDS if low is not None] + [f"{m} <= {high}" for m, _, high in quality.THRESHOLDS if high is not None])
+    tests = " AND ".join(f"(n_words < {n} OR {m} {op} {limit})" for m, low, high, n in quality.THRESHOLDS for op, limit in ((">=", low), ("<=", high)) if limit is not None)
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{sep}+'), lambda x: x <> '') AS words,
@@ -37,12 +37,13 @@ m AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_r
              CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words,
-             CAST(len(list_filter(words, lambda x: rtrim(lower(x), '.,;:!?') IN ({_IN(quality.STOP_WORDS)}))) AS BIGINT) AS n_stop_words
+             CAST(len(list_filter(words, lambda x: rtrim(lower(x), '.,;:!?') IN ({_IN(quality.STOP_WORDS)}))) AS BIGINT) AS n_stop_words,
+             CAST(len(list_filter(words, lambda x, i: i > 1 AND x = words[i - 1])) AS BIGINT) AS n_same_next
       FROM w LEFT JOIN cover USING (doc_id)),
 r AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
              CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word_chars, CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbol_ratio,
-             CASE WHEN n_words > 0 THEN n_stop_words / n_words ELSE 0 END AS stop_ratio, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_ratio FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_stop_words, base_failed, NOT base_failed AND {tests} AS kept FROM r"""
+             CASE WHEN n_words > 0 THEN n_stop_words / n_words ELSE 0 END AS stop_ratio, CASE WHEN n_words > 0 THEN n_same_next / n_words ELSE 0 END AS same_next_ratio, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_ratio FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_same_next, n_stop_words, base_failed, NOT base_failed AND {tests} AS kept FROM r"""
 
 
 def op5_sql() -> str:
