@@ -247,6 +247,15 @@ def test_copies_and_near_copies_are_found(spark):
     assert {r.doc_id for r in substring.remove_repeats(docs).where("doc_id < 40").collect()} == {1}
 
 
+def test_repetitions_within_a_document_are_all_found(spark):
+    rng = random.Random(10)
+    p = " ".join(words(rng, 60))
+    filler = [" ".join(words(rng, 30)) for _ in range(4)]
+    docs = docs_of(spark, [(1, f"{filler[0]} {p} {filler[1]}"), (2, f"{p} {filler[2]} {p} {filler[3]} {p}"), (3, "again " * 200), (4, "again " * 300)])
+    got = {(r.doc_id, r.of_doc, r.start_word, r.end_word) for r in substring.repeated_passages(docs).collect()}
+    assert got == {(2, 1, 0, 60), (2, 1, 90, 150), (2, 1, 180, 240), (4, 3, 0, 300)}
+
+
 def test_against_brute_force_on_whole_documents(spark):
     """Every stretch of 51 equal words in an earlier document is inside a passage, and no passage is without a near one."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
