@@ -65,3 +65,12 @@ def epoch_date(value: Column, zone: str = "UTC") -> Column:
     """The date of an epoch in milliseconds, or in seconds if it is below 1e10, in a time zone."""
     millis = F.when(value < 10**10, value * 1000).otherwise(value)
     return F.to_date(F.from_utc_timestamp(F.timestamp_millis(millis), zone))
+
+
+def range_months(header: Column) -> Column:
+    """The months of a range of dates like 1 January 2025 to 31 March 2026 in a header, null where there is none."""
+    pattern = r"(?i)(\d{1,2})(?:st|nd|rd|th)?\s+([a-z]{3})[a-z]*\s+(20\d{2})\s*(?:to|-|–)\s*(\d{1,2})(?:st|nd|rd|th)?\s+([a-z]{3})[a-z]*\s+(20\d{2})"
+    part = lambda k: F.regexp_extract(header, pattern, k)
+    month = lambda k: F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(part(k))).cast("int")
+    n = (part(6).try_cast("int") - part(3).try_cast("int")) * 12 + month(5) - month(2) + F.when(part(1).try_cast("int") <= 15, 1).otherwise(0)
+    return F.when(header.rlike(pattern) & (n > 0), n)

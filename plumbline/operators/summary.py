@@ -51,6 +51,14 @@ def component_sum(rows: DataFrame, by: list[str], label: str, values: dict[str,
     return rows.groupBy(*by).agg(*sums, F.max(basis).alias("worst_basis"), F.concat_ws(" + ", F.transform(F.sort_array(F.collect_list(F.struct(ord_col, label))), lambda x: x[label])).alias("components"))
 
 
+def all_components(rows: DataFrame, by: list[str], label: str, value: str, wanted: tuple[str, ...], ord_col: str) -> DataFrame:
+    """The sum of the first row of each wanted label (cash: deposits and cash at bank), only where every label is there."""
+    from .ranking import top
+
+    first = top(rows.where(C(label).isin(*wanted) & C(value).isNotNull()), [*by, label], [C(ord_col).asc()])
+    return first.groupBy(*by).agg(F.sum(value).alias(value), F.count("*").alias("_n")).where(C("_n") == len(wanted)).drop("_n")
+
+
 def markdown(title: str, sections: dict[str, list[dict]]) -> str:
     """A plain summary from small aggregates that are on the driver already."""
     out = [f"# {title}", ""]

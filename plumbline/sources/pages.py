@@ -86,3 +86,16 @@ def pages_with(pages: DataFrame, *terms: str) -> DataFrame:
     for t in terms:
         out = out.where(F.lower("text").contains(t.lower()))
     return out
+
+
+def only_ticker(df: DataFrame, ticker: str) -> DataFrame:
+    """One issuer's rows; raises if there are none."""
+    out = df.where(C("ticker") == ticker)
+    if not out.limit(1).collect():
+        raise ValueError(f"no such ticker: {ticker}")
+    return out
+
+
+def current_warnings(warnings: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Cached OCR warnings of pages that still are candidates."""
+    return warnings.join(candidates.where("ocr").select("doc_id", "page_no"), ["doc_id", "page_no"], "left_semi")
