@@ -34,7 +34,8 @@ def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapsho
     months = S.period_lengths(of_annual)
     interim_docs = S.newest_interim(RK.latest_annual(documents), documents.where("kind = 'interim_statement'"))
     i = facts.join(interim_docs.select("doc_id", "period_end", C("comparative_period_end").alias("prior_end"), C("period_months").alias("months")), "doc_id")
-    interim = RK.best_facts(i).select("ticker", "metric", "value", "previous_value", "confidence", "months", "period_end", "prior_end")
+    # columns of another length than the document's, or of none that is known, confirm no year to date; 0 is the document's own
+    interim = RK.best_facts(i).where(C("period_months").isin(0) | (C("period_months") == C("months"))).select("ticker", "metric", "value", "previous_value", "confidence", "months", "period_end", "prior_end")
     flows = best.where(C("metric").isin(*S.INCOME_FLOWS, *S.CASH_FLOWS)).select("ticker", "metric", "value", "confidence", C("period_end").alias("annual_end"))
     trailing = S.trailing_rows(flows, interim)
     wide = best.groupBy("ticker").agg(F.max("period_end").alias("period_end"), *[F.max(F.when(C("metric") == m, C(c))).alias(m + suffix) for m in REQUIRED_METRICS for c, suffix in (("value", ""), ("previous_value", "_prev"))])

@@ -13,8 +13,8 @@ ANNUAL = {"revenue": (1000, 800), "net_profit": (100, 80), "net_profit_attributa
 INTERIM = {"revenue": (300, 250), "net_profit": (30, 20), "net_profit_attributable": (27, 18), "eps": (2.7, 1.8), "operating_cash_flow": (10, 40), "capital_expenditure": (-20, -10)}
 
 
-def run(spark, annual=ANNUAL, months=3, **how):
-    rows = [("A", doc, m, v, p, doc_months, i) for doc, part, doc_months in (("a", annual, 12), ("i", INTERIM, months)) for i, (m, (v, p)) in enumerate(part.items())]
+def run(spark, annual=ANNUAL, months=3, columns="as the document", **how):
+    rows = [("A", doc, m, v, p, doc_months, i) for doc, part, doc_months in (("a", annual, 12), ("i", INTERIM, months if columns == "as the document" else columns)) for i, (m, (v, p)) in enumerate(part.items())]
     f = spark.createDataFrame([(t, d, m, float(v), None if p is None else float(p), k, i) for t, d, m, v, p, k, i in rows], "ticker string, doc_id string, metric string, value double, previous_value double, period_months int, ord long")
     f = f.select("*", F.lit(0.9).alias("confidence"), F.lit(None).cast("array<double>").alias("comparatives"), F.lit(1.0).alias("multiplier"), F.lit(None).cast("string").alias("correction_id"), F.concat_ws(":", "doc_id", "metric").alias("fact_id"))
     docs = spark.createDataFrame([("a", "A", "annual_report", "Annual", D(2026, 3, 31), D(2026, 5, 1), "u", None, 12, None, 1), ("i", "A", "interim_statement", "Interim", D(2026, 6, 30), D(2026, 8, 1), "v", None, months, D(2025, 6, 30), 2)], schemas.DOCUMENT)
@@ -41,6 +41,12 @@ def test_a_run_without_a_proven_interim(spark):
     assert a.income_period == "FY to 2026-03-31" and a.eps == 9 and a.flow_revenue == 1000
 
 
+def test_columns_of_another_length_confirm_no_trailing_figures(spark):
+    for columns, revenue in ((3, 1000), (None, 1000), (6, 1050), (0, 1050)):
+        a = run(spark, months=6, columns=columns)["screening"].where("ticker = 'A'").first()
+        assert (columns, a.flow_revenue) == (columns, revenue)
+
+
 def test_negative_bases(spark):
     a = run(spark, annual=ANNUAL | {"eps": (-4, 1), "total_equity": (-500, -400), "ordinary_equity": (-500, -400)}, months=12)["screening"].where("ticker = 'A'").first()
     assert (a.pe, a.roe, a.debt_to_equity, a.payout) == (None,) * 4 and round(a.earnings_yield, 6) == round(-4 / 90, 6)
