@@ -125,15 +125,19 @@ def lineage(screened: DataFrame, basis_col: Column) -> DataFrame:
 
 
 def data_confidence(selected: DataFrame, core: list[str], gate: float = 0.8) -> DataFrame:
-    """(ticker, data_confidence): low for fewer than three core metrics, high for all of them without one under review."""
+    """(ticker, data_confidence): low for fewer than half of the core metrics, high for all of them without one under review. A metric
+    that has both an extraction and a correction counts once."""
     rows = selected.where(C("metric").isin(*core))
-    n, flagged = F.count_if(C("value").isNotNull() & (C("confidence") >= gate)), F.bool_or(C("confidence") < gate)
-    return rows.groupBy("ticker").agg(n.alias("covered"), flagged.alias("flagged")).select("ticker", "covered", F.when(C("covered") < 3, "low").when((C("covered") == len(core)) & ~C("flagged"), "high").otherwise("review").alias("data_confidence"))
+    doubtful = C("confidence") < gate
+    if "validation_status" in selected.columns:
+        doubtful = doubtful | F.coalesce(C("validation_status") == "review", F.lit(False))
+    n, flagged = F.count_distinct(F.when(C("value").isNotNull() & (C("confidence") >= gate), C("metric"))), F.bool_or(doubtful)
+    return rows.groupBy("ticker").agg(n.alias("covered"), flagged.alias("flagged")).select("ticker", "covered", F.when(C("covered") < len(core) / 2, "low").when((C("covered") == len(core)) & ~C("flagged"), "high").otherwise("review").alias("data_confidence"))
 
 
 def stale(as_of: Column, annual_end: Column, confidence: Column, days: int = 548) -> Column:
-    """A report older than so many days takes high confidence down to review."""
-    return F.when((F.datediff(as_of, annual_end) > days) & (confidence == "high"), "review").otherwise(confidence)
+    """A report older than so many days takes confidence down by one step: high to review, review to low."""
+    return F.when(F.datediff(as_of, annual_end) > days, F.when(confidence == "high", "review").otherwise("low")).otherwise(confidence)
 
 
 def missing_metrics(issuers: DataFrame, metrics: list[str], selected: DataFrame) -> DataFrame:

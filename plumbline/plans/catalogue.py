@@ -277,7 +277,7 @@ _CORE = ("revenue", "net_profit", "eps", "total_equity", "operating_cash_flow",
 
 @query(f"""WITH {A.BASE}, l AS (UNPIVOT (SELECT ticker, confidence, {', '.join(_CORE)} FROM w WHERE fy = 2000) ON {', '.join(_CORE)} INTO NAME metric VALUE value),
 c AS (SELECT ticker, count(*) FILTER (confidence >= 0.8) AS covered, bool_or(confidence < 0.8) AS flagged FROM l GROUP BY ticker)
-SELECT ticker, covered, CASE WHEN covered < 3 THEN 'low' WHEN covered = 6 AND NOT flagged THEN CASE WHEN CAST(ticker AS INT) % 2 = 0 THEN 'review' ELSE 'high' END ELSE 'review' END AS data_confidence FROM c""")
+SELECT ticker, covered, CASE WHEN covered < 3 THEN 'low' WHEN covered = 6 AND NOT flagged THEN CASE WHEN CAST(ticker AS INT) % 2 = 0 THEN 'review' ELSE 'high' END WHEN CAST(ticker AS INT) % 2 = 0 THEN 'low' ELSE 'review' END AS data_confidence FROM c""")
 def data_confidence_class(spark, sf):
     long = A.long_facts(A.annual(spark, sf).where(C("fy") == A.LAST_FY), _CORE)
     d = S.data_confidence(long, list(_CORE))

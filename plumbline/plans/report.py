@@ -20,9 +20,10 @@ C = F.col
 _CORE = ("revenue", "net_profit", "eps", "total_equity", "operating_cash_flow", "total_assets")
 
 
-def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapshots: DataFrame, corrections: DataFrame | None = None, settings: dict | None = None) -> dict[str, DataFrame]:
+def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapshots: DataFrame, corrections: DataFrame | None = None, settings: dict | None = None, as_of: str | None = None) -> dict[str, DataFrame]:
     """companies(ticker, name, industry_group, price, market_cap), documents and facts as in schemas (facts of annual reports and of interim
-    statements by doc_id), snapshots(trading_date, ticker, share_volume, ord) -> screening, ratios, history, raw, flags and review."""
+    statements by doc_id), snapshots(trading_date, ticker, share_volume, ord) -> screening, ratios, history, raw, flags and review. as_of (a date, today if none)
+    decides whether an annual report is out of date."""
     flags = (settings or DEFAULTS)["flags"]
     facts = facts.withColumns({"value": C("value").cast("double"), "previous_value": S.previous_value(C("previous_value"), C("comparatives"), C("multiplier")).cast("double"), "confidence": C("confidence").cast("double")})
     if corrections is not None:
@@ -31,13 +32,16 @@ def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapsho
     annual_doc = RK.latest_annual(documents).select("doc_id", "period_end", C("ticker").alias("t"))
     of_annual = facts.join(annual_doc, "doc_id").drop("t")
     best = RK.best_facts(of_annual)
-    months = S.period_lengths(of_annual)
+    months = S.period_lengths(best.where(C("metric").isin(*S.INCOME_FLOWS, *S.CASH_FLOWS)))
     interim_docs = S.newest_interim(RK.latest_annual(documents), documents.where("kind = 'interim_statement'"))
     i = facts.join(interim_docs.select("doc_id", "period_end", C("comparative_period_end").alias("prior_end"), C("period_months").alias("months")), "doc_id")
     # columns of another length than the document's, or of none that is known, confirm no year to date; 0 is the document's own
-    interim = RK.best_facts(i).where(C("period_months").isin(0) | (C("period_months") == C("months"))).select("ticker", "metric", "value", "previous_value", "confidence", "months", "period_end", "prior_end")
+    selected = RK.best_facts(i)
+    interim = selected.where(C("period_months").isin(0) | (C("period_months") == C("months"))).select("ticker", "metric", "value", "previous_value", "confidence", "months", "period_end", "prior_end")
     flows = best.where(C("metric").isin(*S.INCOME_FLOWS, *S.CASH_FLOWS)).select("ticker", "metric", "value", "confidence", C("period_end").alias("annual_end"))
-    trailing = S.trailing_rows(flows, interim)
+    # a year that isn't of twelve months has no trailing figures
+    trailing = S.trailing_rows(flows.join(months.where("months = 12").select("ticker"), "ticker", "left_semi"), interim)
+    unproven = flows.select("ticker", "metric").join(selected.where("months is not null and prior_end is not null").where(~F.coalesce(C("period_months").isin(0) | (C("period_months") == C("months")), F.lit(False))).select("ticker", "metric"), ["ticker", "metric"], "left_semi")
     wide = best.groupBy("ticker").agg(F.max("period_end").alias("period_end"), *[F.max(F.when(C("metric") == m, C(c))).alias(m + suffix) for m in REQUIRED_METRICS for c, suffix in (("value", ""), ("previous_value", "_prev"))])
     ttm = trailing.groupBy("ticker").agg(F.max("period_end").alias("ttm_end"), *[F.max(F.when(C("metric") == m, C("ttm"))).alias(f"ttm_{m}") for m in (*S.INCOME_FLOWS, *S.CASH_FLOWS)])
     out = companies.join(wide, "ticker", "left").join(ttm, "ticker", "left").join(S.basis(flows, trailing), "ticker", "left").join(months, "ticker", "left")
@@ -49,6 +53,12 @@ def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapsho
     volume = L.summaries(snapshots, flags["liquidity_lookback_days"])
     row = screened.join(growth, "ticker", "left").join(fell, "ticker", "left").join(volume, "ticker", "left").join(S.data_confidence(of_annual, list(_CORE)), "ticker", "left")
     row = FL.relative_flags(row, ["industry_group"])
+    sure = F.coalesce(C("data_confidence"), F.lit("low"))
+    sure = S.stale(F.lit(as_of).cast("date") if as_of else F.current_date(), C("period_end"), sure)
+    row = row.withColumns({
+        "data_confidence": F.when((C("months") != 12) & (sure == "high"), "review").otherwise(sure),
+        "ebit_used": F.coalesce("flow_ebit", "flow_operating_profit"), "ebit_is_proxy": C("flow_ebit").isNull() & C("flow_operating_profit").isNotNull(),
+    })
     shown = row.select(C("flow_eps").alias("eps"), C("flow_net_profit").alias("net_profit"), C("flow_operating_cash_flow").alias("operating_cash_flow"), "ocf_to_net_profit", "debt_to_equity", "total_equity", "payout", "average_volume", "liquidity_days", "eps_declined", "revenue_declined", "months")
     limits = {k: v for k, v in flags.items() if k in FL.DEFAULTS}
     names = {"eps": "flow_eps", "net_profit": "flow_net_profit", "operating_cash_flow": "flow_operating_cash_flow"}
@@ -60,5 +70,5 @@ def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapsho
     return {
         "screening": row.withColumn("income_period", label), "ratios": S.lineage(screened, P.period_label(C("months"), C("period_end"))), "history": H.deduplicate(h),
         "raw": S.mark_used(facts, best, facts.join(trailing.select("ticker", "metric"), ["ticker", "metric"], "left_semi").join(interim_docs.select("doc_id"), "doc_id", "left_semi")),
-        "flags": FL.flag_records(row), "review": missing.unionByName(weak),
+        "flags": FL.flag_records(row), "review": missing.unionByName(weak).unionByName(unproven.withColumn("rule", F.lit("unconfirmed_interim_period"))),
     }

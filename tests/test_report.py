@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from plumbline import schemas
 from plumbline.functions import periods as P
+from plumbline.operators import screening as S
 from plumbline.operators import summary as SM
 from plumbline.plans import report
 from plumbline.sources import settings
@@ -13,14 +14,14 @@ ANNUAL = {"revenue": (1000, 800), "net_profit": (100, 80), "net_profit_attributa
 INTERIM = {"revenue": (300, 250), "net_profit": (30, 20), "net_profit_attributable": (27, 18), "eps": (2.7, 1.8), "operating_cash_flow": (10, 40), "capital_expenditure": (-20, -10)}
 
 
-def run(spark, annual=ANNUAL, months=3, columns="as the document", **how):
-    rows = [("A", doc, m, v, p, doc_months, i) for doc, part, doc_months in (("a", annual, 12), ("i", INTERIM, months if columns == "as the document" else columns)) for i, (m, (v, p)) in enumerate(part.items())]
+def run(spark, annual=ANNUAL, months=3, columns="as the document", year=12, as_of="2026-10-31", **how):
+    rows = [("A", doc, m, v, p, doc_months, i) for doc, part, doc_months in (("a", annual, year), ("i", INTERIM, months if columns == "as the document" else columns)) for i, (m, (v, p)) in enumerate(part.items())]
     f = spark.createDataFrame([(t, d, m, float(v), None if p is None else float(p), k, i) for t, d, m, v, p, k, i in rows], "ticker string, doc_id string, metric string, value double, previous_value double, period_months int, ord long")
     f = f.select("*", F.lit(0.9).alias("confidence"), F.lit(None).cast("array<double>").alias("comparatives"), F.lit(1.0).alias("multiplier"), F.lit(None).cast("string").alias("correction_id"), F.concat_ws(":", "doc_id", "metric").alias("fact_id"))
     docs = spark.createDataFrame([("a", "A", "annual_report", "Annual", D(2026, 3, 31), D(2026, 5, 1), "u", None, 12, None, 1), ("i", "A", "interim_statement", "Interim", D(2026, 6, 30), D(2026, 8, 1), "v", None, months, D(2025, 6, 30), 2)], schemas.DOCUMENT)
     companies = spark.createDataFrame([("A", "a", "g", 90.0, 900.0), ("B", "b", "g", 1.0, 1.0)], "ticker string, name string, industry_group string, price double, market_cap double")
     snaps = spark.createDataFrame([(D(2026, 10, d), "A", 20000.0, d) for d in range(1, 8)], "trading_date date, ticker string, share_volume double, ord long")
-    return report.screen(companies, docs, f, snaps, **how)
+    return report.screen(companies, docs, f, snaps, as_of=as_of, **how)
 
 
 def test_a_run(spark):
@@ -30,6 +31,7 @@ def test_a_run(spark):
     want = {"flow_revenue": 1050, "eps": 9.9, "pe": 90 / 9.9, "payout": 3 / 9, "operating_cash_flow": 90, "free_cash_flow": 30, "ocf_to_net_profit": 90 / 110, "dividend_yield": 3 / 90, "roe": 90 / 950, "bvps_used": 100, "pb": 0.9, "revenue_growth": 0.25}
     assert {k: round(a[k], 6) for k in want} == {k: round(v, 6) for k, v in want.items()}
     assert a.income_period == "TTM to 2026-06-30" and a.flags == "" and a.data_confidence == "high"
+    assert (a.ebit_used, a.ebit_is_proxy, r["B"].data_confidence) == (None, False, "low")
     assert r["B"].flags.startswith("multi-day liquidity unavailable (0/5")
     assert {x.metric for x in out["review"].where("ticker = 'A'").collect()} == {"operating_profit", "ebit", "total_liabilities", "bvps", "retained_earnings"}
     assert {x.used_in_screening for x in out["raw"].collect()} == {"yes", "yes (TTM input)"}
@@ -47,6 +49,32 @@ def test_columns_of_another_length_confirm_no_trailing_figures(spark):
         assert (columns, a.flow_revenue) == (columns, revenue)
 
 
+def test_unconfirmed_interim_columns_go_to_review(spark):
+    review = run(spark, months=6, columns=3)["review"].where("rule = 'unconfirmed_interim_period'")
+    assert {r.metric for r in review.collect()} == set(INTERIM)
+
+
+def test_a_year_of_fifteen_months(spark):
+    a = run(spark, year=15)["screening"].where("ticker = 'A'").first()
+    assert (a.flow_revenue, a.income_period, a.roe, a.revenue_growth, a.data_confidence) == (1000, "15 months to 2026-03-31", None, None, "review")
+    assert a.pe == 10
+
+
+def test_an_old_report_and_a_proxy(spark):
+    a = run(spark, annual=ANNUAL | {"operating_profit": (140, 120)}, months=12, as_of="2028-01-01")["screening"].where("ticker = 'A'").first()
+    assert (a.data_confidence, a.ebit_used, a.ebit_is_proxy) == ("review", 140, True)
+
+
+def test_confidence_of_the_data(spark):
+    rows = [("A", m, 1.0, 0.9, None) for m in report._CORE] + [("A", "revenue", 2.0, 1.0, None)]
+    rows += [("B", m, 1.0, 0.9, "review" if m == "eps" else None) for m in report._CORE] + [("C", m, 1.0, 0.9, None) for m in report._CORE[:2]] + [("C", "revenue", 1.0, 1.0, None)]
+    d = S.data_confidence(spark.createDataFrame(rows, "ticker string, metric string, value double, confidence double, validation_status string"), list(report._CORE))
+    assert {r.ticker: (r.covered, r.data_confidence) for r in d.collect()} == {"A": (6, "high"), "B": (6, "review"), "C": (2, "low")}
+    t = spark.createDataFrame([("high", 549), ("review", 549), ("low", 549), ("high", 548), ("review", 548)], "c string, days int")
+    got = [r.x for r in t.select(S.stale(F.date_add(F.lit("2026-01-01").cast("date"), F.col("days")), F.lit("2026-01-01").cast("date"), F.col("c")).alias("x")).collect()]
+    assert got == ["review", "low", "low", "high", "review"]
+
+
 def test_negative_bases(spark):
     a = run(spark, annual=ANNUAL | {"eps": (-4, 1), "total_equity": (-500, -400), "ordinary_equity": (-500, -400)}, months=12)["screening"].where("ticker = 'A'").first()
     assert (a.pe, a.roe, a.debt_to_equity, a.payout) == (None,) * 4 and round(a.earnings_yield, 6) == round(-4 / 90, 6)
