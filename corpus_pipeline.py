@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality rules, SimHash near-duplicates, repeated passages, personal data, packing.
+"""The corpus pipeline: quality rules, near copies by shingle similarity, repeated passages, personal data, packing.
 
 Each stage is written as Parquet and read again as the next one's input, so a lost executor never makes an earlier stage run
 again. Counted as part of plumbline.llm.
@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import packing, pii, quality, simhash, substring
+from plumbline.llm import near_copies, packing, pii, quality, substring
 from plumbline.llm.common import ensure_checkpoint_dir
 from plumbline.llm.queries import tokenizer_file
 
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one of the smallest id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near copies (similarity 0.8 of 5-word shingles) stays, the one of the smallest id."""
+    return near_copies.drop_near_copies(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from plumbline.llm import pii, quality
+from plumbline.llm import near_copies, pii, quality
 from plumbline.llm.queries import tokenizer_file
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -69,3 +69,31 @@ def test_stages_with_odd_tables(spark):
     for df in staged(spark, odd.where("false")):
         assert df.count() == 0
     assert quality.keep_good(odd).columns == odd.columns and tokenizer_file("word_bpe_49k.json")
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_equal_brute_force(spark):
+    rng = random.Random(5)
+    texts, bases = {}, [prose(rng, rng.randint(150, 400)) for _ in range(12)]
+    for base in bases:
+        texts[len(texts) + 1] = " ".join(base)
+        for share in (0.005, 0.01, 0.015, 0.02, 0.03, 0.05):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), max(1, int(share * len(copy)))):
+                copy[at] = prose(rng, 1)[0] + "x"
+            texts[len(texts) + 1] = " ".join(copy)
+    pairs = [(a, b) for a in texts for b in texts if a < b and jaccard(texts[a], texts[b]) >= 0.8]
+    assert {int(20 * jaccard(texts[a], texts[b])) for a, b in pairs} >= {16, 17, 18}  # 0.80 to 0.95
+    root = {i: i for i in texts}
+    for _ in texts:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], DOCS)
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert kept == sorted(set(root.values())) and len(kept) < len(texts) / 2
+    for tile_rows in (3, 8):  # components over many tiles
+        assert {r.doc_id: r.component_id for r in near_copies.near_copy_components(docs, tile_rows=tile_rows).collect()} == root
