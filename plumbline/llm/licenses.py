@@ -1,8 +1,9 @@
 """License scans (operator 2): sentence-rule recognition with built-in expressions only.
 
-A text is cut into sentences, each is normalised (ASCII lower case, other characters than letters and digits as one space) and
-looked up among the known licence sentences. What is found is written as one character for each sentence, unknown
-sentences as "-"; ordered rules are matched against that string, longer rules before shorter ones, leftmost first.
+A text is cut at line ends and sentence ends and normalised (ASCII lower case, other characters than letters and digits as one
+space). A known licence sentence is found where it begins and ends at such cuts; it may go over further cuts, as in hard-wrapped
+notices, but not over a blank line. What is found is written as one character for each sentence, other lines and sentences as
+"-", blank ones and bare list numbers as nothing; ordered rules are matched against that string, longer rules before shorter ones, leftmost first.
 
 Defined cases: null or empty text has no licence; repeated rows each get a row; a null id stays;
 further columns are ignored.
@@ -37,13 +38,15 @@ SENTENCES = {
     "R": "this work is licensed under the mit license",
     "S": "licensed under the mit license",
     "T": "this is free and unencumbered software released into the public domain",
+    "U": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    "V": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
 }
 #: Ordered rules: the identifiers' sequence, in which any unknown sentence may stand where "*" is, and the licence it means.
 RULES = (
-    ("B*C", "MIT"), ("E*F*G", "Apache-2.0"), ("N*O", "BSD-3-Clause"), ("A", "MIT"), ("B", "MIT"), ("R", "MIT"), ("S", "MIT"), ("D", "Apache-2.0"), ("E", "Apache-2.0"), ("H", "GPL-3.0"), ("I", "GPL-3.0-or-later"),
+    ("B*C", "MIT"), ("E*F*G", "Apache-2.0"), ("N*U*V*O", "BSD-3-Clause"), ("N*U*V", "BSD-2-Clause"), ("N*O", "BSD-3-Clause"), ("A", "MIT"), ("B", "MIT"), ("R", "MIT"), ("S", "MIT"), ("D", "Apache-2.0"), ("E", "Apache-2.0"), ("H", "GPL-3.0"), ("I", "GPL-3.0-or-later"),
     ("J", "CC-BY-NC-4.0"), ("K", "CC-BY-4.0"), ("L", "CC-BY-SA-4.0"), ("M", "CC-BY-4.0"), ("N", "BSD-2-Clause"), ("P", "ISC"), ("Q", "MPL-2.0"), ("T", "Unlicense"),
 )
-BREAK = r"\n|[.!?;:][ \t]+"
+BREAK = r"[.!?;:][ \t]+\n?|\n"
 #: Each sentence above holds one of these, so a text without any has none of them and isn't cut.
 ANCHOR = "(?i)licens|permission|redistribut|unencumbered|copyright"
 MATCH = "|".join(rule.replace("*", "-{0,2}") for rule, _ in RULES)
@@ -53,11 +56,13 @@ def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_known, licenses, matched): licences in the order of the text, comma-joined, each as often as it is
     found; matched is what stood for each, unknown sentences left out."""
     rows = id_and_text(docs, id_col, text_col)
-    parts = F.when(F.col("text").rlike(ANCHOR), F.split("text", BREAK, -1)).otherwise(F.array().cast("array<string>"))
-    known = F.create_map(*[F.lit(x) for k, v in SENTENCES.items() for x in (v, k)])
-    clean = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    marks = F.transform(clean, lambda s: F.when(s.isin(list(SENTENCES.values())), F.element_at(known, s)).otherwise("-"))
-    rows = rows.select("doc_id", F.array_join(marks, "").alias("_marks"))
+    lines = F.when(F.col("text").rlike(ANCHOR), F.regexp_replace("text", BREAK, "\n")).otherwise("")
+    lines = F.regexp_replace(F.regexp_replace(F.lower(lines), "[^a-z0-9\n]+", " "), "(?m)^ +| +$", "")
+    for k, v in sorted(SENTENCES.items(), key=lambda item: -len(item[1])):
+        lines = F.regexp_replace(lines, f"(?m)^{v.replace(' ', '[ \n]')}$", k)
+    lines = F.regexp_replace(lines, "(?m)^[0-9]{1,2}$", "")
+    marks = F.regexp_replace(F.regexp_replace(lines, "(?m)^(?![A-Z]$).+$", "-"), "\n", "")
+    rows = rows.select("doc_id", marks.alias("_marks"))
     found = F.transform(F.expr(f"regexp_extract_all(_marks, '{MATCH}', 0)"), lambda m: F.replace(m, F.lit("-"), F.lit("")))
     names = F.create_map(*[F.lit(x) for rule, name in RULES for x in (rule.replace("*", ""), name)])
     rows = rows.withColumns({"n_known": F.length(F.replace("_marks", F.lit("-"), F.lit(""))).cast("long"), "_found": found})

@@ -209,3 +209,62 @@ def test_chat_defined_cases(spark):
     assert got == {None: (2, 0), 5: (3, 3), 6: (2, 200_000)}
     assert chat.read_back(chat.format_conversations(turns.where("false"))).count() == 0
     assert np.all([r.part == 0 for r in chat.format_conversations(turns.where("conv_id = 5")).collect()])
+
+
+def test_licenses_in_wrapped_canonical_texts(spark):
+    mit = """MIT License
+
+    Copyright (c) 2020 Someone
+
+    Permission is hereby granted, free of charge, to any person obtaining a copy
+    of this software and associated documentation files (the "Software"), to deal
+    in the Software without restriction, including without limitation the rights
+    to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+    copies of the Software, and to permit persons to whom the Software is
+    furnished to do so, subject to the following conditions:
+
+    The above copyright notice and this permission notice shall be included in all
+    copies or substantial portions of the Software.
+
+    THE SOFTWARE IS PROVIDED "AS IS"."""
+    bsd2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+    bsd3 = bsd2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+    isc = """Copyright (c) 2020 Someone
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+    gpl = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,"""
+    apache = """ * Licensed under the Apache License, Version 2.0
+ * (the "License"); you may not use this file except
+ * in compliance with the License. You may obtain a copy
+ * of the License at
+ *
+ *   http://www.apache.org/licenses/LICENSE-2.0"""
+    mpl = "This Source Code Form is subject to the terms of the Mozilla\nPublic License, v. 2.0. If a copy of the MPL was not"
+    cc = "This work is licensed under a Creative Commons\r\nAttribution 4.0 International License.\r\n"
+    unlicense = "This is free and unencumbered software\nreleased into the public domain.\n"
+    apart = "This is free and unencumbered software\n\nreleased into the public domain.\n"
+    one_line = " ".join(bsd3.split())
+    got = {r.doc_id: (r.n_known, r.licenses) for r in licenses.license_report(docs_of(spark, [mit, bsd2, bsd3, isc, gpl, apache, mpl, cc, unlicense, apart, one_line])).collect()}
+    assert got == {
+        0: (2, "MIT"), 1: (3, "BSD-2-Clause"), 2: (4, "BSD-3-Clause"), 3: (1, "ISC"), 4: (1, "GPL-3.0-or-later"), 5: (3, "Apache-2.0"), 6: (1, "MPL-2.0"), 7: (1, "CC-BY-4.0"), 8: (1, "Unlicense"),
+        9: (0, ""), 10: (4, "BSD-3-Clause"),
+    }
