@@ -3,8 +3,9 @@
 The field's nodes are the tokens with a digit or an at sign; neighbours in the text share a chain potential, repeated or
 similar tokens, however far apart, a skip potential. Nodes inside base spans are observed. Loopy belief propagation over
 the document's graph makes labels agree, so a number that was recognised once is also found where it lacks its plus sign or its
-separators. A node's label becomes a further span if its belief exceeds `BELIEF`. Repeated tokens are linked in the
-order of the text, each with the next, so a group of m costs m links.
+separators. A node's label becomes a further span if its belief exceeds `BELIEF`. Two tokens of one form are linked with each
+other; more of them each with a hidden node of their form, so a group of m costs m links and a label is two steps from any
+of its repeats.
 
 Trained piecewise in numpy on texts that a seeded generator makes (names of cues, formats, plain numbers, secrets, prices, dates);
 no row of the input is used, so scores don't depend on it.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -69,7 +71,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, number of the kind, end), sorted."""
     out = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
-        out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(int(x[:4] if len(x := p.lstrip("0")) > 3 else p) <= 255 for p in m[0].split("."))]
+        out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(x := p.lstrip("0")) <= 3 and int(x or "0") <= 255 for p in m[0].split("."))]
         out += [(m.start(), 2, m.end()) for m in _CARD.finditer(text) if 12 <= len(d := m[0].replace(" ", "").replace("-", "")) <= 19 and luhn(d)]
         if "+" in text:
             out += [(m.start(), 3, m.end()) for m in _PHONE.finditer(text) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
@@ -89,6 +91,13 @@ CUES = {
 _CUE_OF = {w: k for k, ws in CUES.items() for w in ws}
 
 
+def _ends_in_domain(core: str) -> bool:
+    """Whether letters follow the last dot, and that stands behind an at sign and something more; in one pass."""
+    at, dot = core.find("@"), core.rfind(".")
+    last = core[dot + 1 :]
+    return 0 <= at < dot - 1 and len(last) >= 2 and last.isascii() and last.isalpha()
+
+
 def _features(token: str, before: str, before2: str, after: str) -> list[str]:
     core = token.strip(".,;:!?\"'<>[]")
     digits = sum(c.isdigit() for c in core)
@@ -98,7 +107,7 @@ def _features(token: str, before: str, before2: str, after: str) -> list[str]:
     out += ["bracket"] * bool(re.fullmatch(r"\([0-9]{2,4}\)", core)) + ["quad"] * bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", core)) + ["local7"] * bool(re.fullmatch(r"[0-9]{3}[-.][0-9]{4}", core))
     out += ["local10"] * bool(re.fullmatch(r"\(?[0-9]{3}\)?[-. ]?[0-9]{3}[-.][0-9]{4}", core)) + ["money"] * bool(re.match(r"[$€£%]|.*[$€£%]$", core)) + ["date"] * bool(re.fullmatch(r"[0-9]{1,4}[-/][0-9]{1,2}[-/][0-9]{1,4}", core))
     plain = core.replace("-", "")
-    out += ["luhn"] * (plain.isascii() and plain.isdigit() and 12 <= len(plain) <= 19 and luhn(plain)) + ["domain"] * bool(re.search(r"@.+\.[A-Za-z]{2,}$", core))
+    out += ["luhn"] * (plain.isascii() and plain.isdigit() and 12 <= len(plain) <= 19 and luhn(plain)) + ["domain"] * _ends_in_domain(core)
     for name, word in (("before", before), ("before2", before2), ("after", after)):
         word = word.lower().strip(".,;:!?\"'()")
         if word in _CUE_OF:
@@ -121,15 +130,17 @@ class Field:
         self.chain = np.zeros((len(LABELS), len(LABELS)))
         self.skip = np.zeros((len(LABELS), len(LABELS)))
 
-    def unary(self, features: list[list[str]]) -> np.ndarray:
-        out = np.zeros((len(features), len(LABELS)))
+    def unary(self, features: Iterable[list[str]], n: int) -> np.ndarray:
+        """The node factors of n nodes; features are taken one node at a time."""
+        out = np.zeros((n, len(LABELS)))
         for i, f in enumerate(features):
             at = [self.index[x] for x in f if x in self.index]
             out[i] = self.weights[at].sum(axis=0)
         return out - out.max(axis=1, keepdims=True)
 
     def beliefs(self, unary: np.ndarray, edges: np.ndarray, kinds: np.ndarray, rounds: int = 12, damp: float = 0.3) -> np.ndarray:
-        """Sum-product belief propagation; edges: (E, 2) node pairs, kinds: 0 chain, 1 skip."""
+        """Sum-product belief propagation; edges: (E, 2) node pairs, kinds: 0 chain, 1 skip. Exact where the graph is a tree that
+        the rounds can cross."""
         if not len(edges):
             b = np.exp(unary)
             return b / b.sum(axis=1, keepdims=True)
@@ -158,27 +169,32 @@ class Field:
 
 
 class _Graph:
-    """Nodes and edges of one text."""
+    """Nodes and edges of one text: `at` has the tokens that are nodes, `hubs` hidden nodes follow them."""
 
     def __init__(self, text: str):
-        tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
-        words = [text[a:b] for a, b in tokens]
-        self.at = [i for i, w in enumerate(words) if "@" in w or _DIGIT.search(w)]
-        get = lambda i: words[i] if 0 <= i < len(words) else ""
-        self.features = [_features(words[i], get(i - 1), get(i - 2), get(i + 1)) for i in self.at]
+        tokens = [m.span() for m in _TOKEN.finditer(text)]
+        self.words = [text[a:b] for a, b in tokens]
+        self.at = [i for i, w in enumerate(self.words) if "@" in w or _DIGIT.search(w)]
         self.spans = [tokens[i] for i in self.at]
-        self.tokens = [words[i] for i in self.at]
-        edges, kinds, last = [], [], {}
+        edges = [(k - 1, k, 0) for k in range(1, len(self.at)) if self.at[k - 1] == self.at[k] - 1]
+        same: dict[str, list[int]] = {}
         for k, i in enumerate(self.at):
-            if k and self.at[k - 1] == i - 1:
-                edges.append((k - 1, k))
-                kinds.append(0)
-            form = _form(words[i])
-            if form in last:
-                edges.append((last[form], k))
-                kinds.append(1)
-            last[form] = k
-        self.edges, self.kinds = np.array(edges, dtype=np.int64).reshape(-1, 2), np.array(kinds, dtype=np.int64)
+            same.setdefault(_form(self.words[i]), []).append(k)
+        self.hubs = 0
+        for ks in same.values():
+            if len(ks) == 2:
+                edges.append((*ks, 1))
+            elif len(ks) > 2:
+                edges += [(k, len(self.at) + self.hubs, 1) for k in ks]
+                self.hubs += 1
+        table = np.array(edges, dtype=np.int64).reshape(-1, 3)
+        self.edges, self.kinds = table[:, :2], table[:, 2]
+        self.alike = [ks for ks in same.values() if len(ks) > 1]
+
+    def features(self) -> Iterator[list[str]]:
+        get = lambda i: self.words[i] if 0 <= i < len(self.words) else ""
+        for i in self.at:
+            yield _features(self.words[i], get(i - 1), get(i - 2), get(i + 1))
 
 
 def _training_texts(n: int, seed: int = 3):
@@ -235,11 +251,13 @@ def trained(texts: int = 1500) -> Field:
     for text, spans in _training_texts(texts):
         g = _Graph(text)
         y = [next((k for (a, b), k in spans.items() if a <= s < b), 0) for s, _ in g.spans]
-        rows += g.features
+        rows += g.features()
         labels += y
-        for (i, j), kind in zip(g.edges.tolist(), g.kinds.tolist(), strict=True):
-            for a, b in ((y[i], y[j]), (y[j], y[i])):
-                (skip if kind else chain)[a, b] += 1
+        met = [(chain, i, j) for (i, j), kind in zip(g.edges.tolist(), g.kinds.tolist(), strict=True) if not kind]
+        met += [(skip, i, j) for ks in g.alike for i, j in zip(ks, ks[1:], strict=False)]
+        for table, i, j in met:
+            table[y[i], y[j]] += 1
+            table[y[j], y[i]] += 1
     names = sorted({f for r in rows for f in r})
     field = Field(names)
     x = np.zeros((len(rows), len(names)))
@@ -269,7 +287,7 @@ def further_spans(text: str, base: list[tuple[int, int, int]], field: Field) ->
     g = _Graph(text)
     if not g.at:
         return []
-    unary = field.unary(g.features)
+    unary = field.unary(g.features(), len(g.at))
     taken = np.zeros(len(g.at), bool)
     begins = np.array([s for s, _ in g.spans])
     stops = np.array([e for _, e in g.spans])
@@ -280,7 +298,7 @@ def further_spans(text: str, base: list[tuple[int, int, int]], field: Field) ->
         taken[lo:hi] = True
     if taken.all():
         return []
-    belief = field.beliefs(unary, g.edges, g.kinds)
+    belief = field.beliefs(np.concatenate((unary, np.zeros((g.hubs, len(LABELS))))), g.edges, g.kinds)[: len(g.at)]
     out: list[list[int]] = []
     last = -2
     for k in np.flatnonzero(~taken & (belief[:, 1:].max(axis=1) > BELIEF)).tolist():

@@ -268,3 +268,52 @@ copyright notice and this permission notice appear in all copies."""
         0: (2, "MIT"), 1: (3, "BSD-2-Clause"), 2: (4, "BSD-3-Clause"), 3: (1, "ISC"), 4: (1, "GPL-3.0-or-later"), 5: (3, "Apache-2.0"), 6: (1, "MPL-2.0"), 7: (1, "CC-BY-4.0"), 8: (1, "Unlicense"),
         9: (0, ""), 10: (4, "BSD-3-Clause"),
     }
+
+
+def exact_beliefs(field, unary, edges, kinds):
+    """Marginals by summing over all labellings."""
+    from itertools import product
+
+    out = np.zeros_like(unary)
+    for labels in product(range(unary.shape[1]), repeat=len(unary)):
+        score = sum(unary[i, x] for i, x in enumerate(labels))
+        score += sum((field.skip if k else field.chain)[labels[a], labels[b]] for (a, b), k in zip(edges, kinds, strict=True))
+        for i, x in enumerate(labels):
+            out[i, x] += np.exp(score)
+    return out / out.sum(axis=1, keepdims=True)
+
+
+def test_messages_give_exact_beliefs_on_trees_and_near_ones_on_loops():
+    rng = np.random.default_rng(11)
+    field = pii.trained()
+    for _ in range(40):
+        n = int(rng.integers(2, 6))
+        unary = rng.normal(0, 1.5, (n, len(pii.LABELS)))
+        edges = np.array([(int(rng.integers(0, k)), k) for k in range(1, n)])
+        kinds = rng.integers(0, 2, n - 1)
+        assert np.allclose(field.beliefs(unary, edges, kinds, rounds=200), exact_beliefs(field, unary, edges, kinds), atol=1e-3)
+    chain, skip = field.chain, field.skip
+    weak = pii.Field([])
+    weak.chain, weak.skip = chain / 4, skip / 4
+    unary = rng.normal(0, 1.5, (4, len(pii.LABELS)))
+    edges, kinds = np.array([(0, 1), (1, 2), (2, 3), (0, 3)]), np.array([0, 0, 0, 1])
+    assert np.allclose(weak.beliefs(unary, edges, kinds, rounds=200), exact_beliefs(weak, unary, edges, kinds), atol=0.05)
+
+
+def test_a_number_that_is_recognised_once_is_found_at_each_of_its_repeats():
+    text = "call +1 (234) 555-7975 now " + " ".join(f"then word{'x' * k} (234) 555-7975 came" for k in range(50))
+    base, spans = pii.all_spans(text, pii.trained())
+    assert len(base) == 1 and sum(k == 3 for _, k, _ in spans) == 51
+
+
+def test_personal_data_in_extreme_texts():
+    long = ["0" * 5000 + ".1.2.3", "1." * 300_000, "@." * 300_000, "a@b." * 100_000, "+1" + "(" * 500_000, "4" * 19 + " " + "4-" * 300_000, "7 " * 20_000, "0.0.0.0 " * 10_000]
+    for t in long:
+        base, spans = pii.all_spans(t, pii.trained())
+        assert set(base) <= set(spans)
+    assert pii.base_spans(long[0]) == [(0, 1, 5006)]
+    assert pii.base_spans("256.1.1.1 000.00.0.0255") == [(10, 1, 23)]
+    rng = random.Random(12)
+    for _ in range(5000):
+        core = "".join(rng.choice("@.a1B") for _ in range(8))
+        assert pii._ends_in_domain(core) == bool(re.search(r"@.+\.[A-Za-z]{2,}$", core)), core
