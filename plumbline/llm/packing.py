@@ -5,6 +5,8 @@ histogram however many documents there are, with multiplicities instead of singl
 among the pieces of a length go to which sequences; ranks are counted per bucket of documents and added up, so a
 length that very many pieces share isn't brought to one task.
 
+Strings of the tokenizer's special tokens in a text count as these tokens, as its own encode has them.
+
 Defined cases: null text counts as empty and is packed as the end id alone; repeated rows are packed each; a null id stays;
 an empty table gives an empty result; further columns are ignored.
 """
@@ -39,7 +41,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = BoundedCache(1_000_000)
 
     def _known(self, words: list[str]) -> list[bytes]:
@@ -58,13 +60,15 @@ class WordIds:
         """The ids of each text. Words are cut and numbered by Arrow, so Python sees each distinct word of the array once.
 
         ASCII words that differ in case or in one ending stop or comma only are looked up as one: the tokenizer lowers case
-        and cuts between letters and marks. Other white space than ASCII's stays within words, where the tokenizer drops it."""
+        and cuts between letters and marks, but for special tokens, which are met before that. Other white space than ASCII's stays within words, where the tokenizer drops it."""
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
         whole = coded.dictionary
         core = pc.ascii_rtrim(whole, ".,")
         cut = pc.subtract(pc.binary_length(whole), pc.binary_length(core))
         plain = pc.and_(pc.and_(pc.string_is_ascii(whole), pc.match_substring_regex(core, "[A-Za-z0-9]$")), pc.less_equal(cut, 1))
+        for special in self.special:
+            plain = pc.and_not(plain, pc.match_substring(core, special, ignore_case=True))
         core = pc.if_else(plain, pc.ascii_lower(core), whole).dictionary_encode()
         known = self._known([*core.dictionary.to_pylist(), "", ".", ","])
         n = len(known) - 3
@@ -106,54 +110,65 @@ Pattern = tuple[int, tuple[tuple[int, int], ...]]  # how many sequences; (length
 
 
 def reduce_instance(counts: np.ndarray, capacity: int) -> list[Pattern]:
-    """Martello and Toth's reduction: takes out of counts (by length) all sets {j}, {j, i} that dominate every other feasible set
-    with j, the largest first, and returns them."""
+    """Martello and Toth's reduction: takes out of counts (by length) all sets {j}, {j, i} and {j, a, b} that dominate every other
+    feasible set with j, the largest j first, and returns them. A set dominates another one if that can be cut into parts that
+    each fit in the place of an item of its own; a set that dominates goes on doing so as long as there are items for it."""
     fixed: list[Pattern] = []
     there = np.flatnonzero(counts)
     for j in there[::-1].tolist():
         while counts[j]:
-            counts[j] -= 1
-            left = np.flatnonzero(counts[: capacity - j + 1])  # lengths that fit beside one j
-            counts[j] += 1
-            if not len(left):
-                fixed.append((int(counts[j]), ((j, 1),)))
-                counts[j] = 0
-                break
-            i = int(left[-1])
-            # the smallest lengths, repeated: how many further items fit at most, up to three
-            small = np.repeat(left, np.minimum(counts[left] - (left == j), 3))[:3].tolist()
-            most = sum(j + sum(small[: k + 1]) <= capacity for k in range(len(small)))
-            dominates = j + i == capacity or most == 1
-            if not dominates and most == 2:
-                # no two of the items that fit are larger together than i alone
-                dominates = _best_two(counts, left, j, capacity) <= i
-            if not dominates:
+            chosen = _dominating(counts, j, capacity)
+            if chosen is None:
                 break
-            m = int(counts[j] // 2 if i == j else min(counts[j], counts[i]))
-            fixed.append((m, ((j, 2),) if i == j else ((j, 1), (i, 1))))
-            counts[j] -= m
-            counts[i] -= m
+            items = {x: chosen.count(x) for x in chosen}
+            m = min(int(counts[x]) // n for x, n in items.items())
+            fixed.append((m, tuple(items.items())))
+            for x, n in items.items():
+                counts[x] -= m * n
     return fixed
 
 
-def _best_two(counts: np.ndarray, left: np.ndarray, j: int, capacity: int) -> int:
-    """The largest sum of two items that fit beside one j."""
-    room, best = capacity - j, 0
-    sizes = left.tolist()
+def _dominating(counts: np.ndarray, j: int, capacity: int) -> list[int] | None:
+    """The set of three items at most, j among them, that dominates all others with j, if there is one."""
+    room = capacity - j
+    counts[j] -= 1
+    try:
+        left = np.flatnonzero(counts[: room + 1])  # lengths that fit beside one j
+        if not len(left):
+            return [j]
+        i = int(left[-1])
+        # the smallest lengths, repeated: how many further items fit at most, up to three
+        small = np.repeat(left, np.minimum(counts[left], 3))[:3].tolist()
+        most = sum(sum(small[: k + 1]) <= room for k in range(len(small)))
+        # i alone is as large as any two that fit
+        if i == room or most == 1 or most == 2 and _best_two(counts, left, room) <= i:
+            return [j, i]
+        if most > 2:
+            return None
+        counts[i] -= 1
+        second = np.flatnonzero(counts[: room - i + 1])
+        counts[i] += 1
+        b = int(second[-1]) if len(second) else 0
+        # two items that fit either have one for b's place and one for i's, or are no larger together than i
+        return [j, i, b] if b and _best_two(counts, left[left > b], room) <= i else None
+    finally:
+        counts[j] += 1
+
+
+def _best_two(counts: np.ndarray, left: np.ndarray, room: int) -> int:
+    """The largest sum of two items of these lengths that is within the room, 0 if there is none."""
+    best, sizes = 0, left.tolist()
     lo, hi = 0, len(sizes) - 1
     while lo <= hi:
         a, b = sizes[lo], sizes[hi]
         if a + b > room:
             hi -= 1
-        elif lo == hi:
-            if counts[a] - (a == j) >= 2:
-                best = max(best, 2 * a)
-            break
-        else:
+            continue
+        if lo < hi:
             best = max(best, a + b)
-            if counts[a] - (a == j) >= 2:
-                best = max(best, 2 * a)
-            lo += 1
+        if counts[a] >= 2:
+            best = max(best, 2 * a)
+        lo += 1
     return best
 
 

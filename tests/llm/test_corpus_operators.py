@@ -138,9 +138,8 @@ def test_packing_pieces_and_places(spark):
 
     path = tokenizer_file("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 150")
-    odd = docs_of(spark, [(1000, ""), (1001, None), (1002, "<|endoftext|> x"), (1003, "Ünï\x1c\x1dcode\x85 ΣΑΣ ΟΔΟΣ it's 12345 é z"), (1004, "word " * 9000), (1004, "word " * 9000), (None, "x")])
+    odd = docs_of(spark, [(1000, ""), (1001, None), (1002, "<|endoftext|> x a<|endoftext|>b <|ENDOFTEXT|>c d<|StartOfText|>e. <|startoftext|>, <|endoftext|>F"), (1003, "Ünï\x1c\x1dcode\x85 ΣΑΣ ΟΔΟΣ it's 12345 é z"), (1004, "word " * 9000), (1004, "word " * 9000), (None, "x")])
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(odd)
     rows = packing.pack(docs.selectExpr("*", "1 as length", "2 as piece"), path).collect()
     want = []
@@ -174,16 +173,34 @@ def plain_best(lengths, capacity):
 
 
 def test_reduction_keeps_the_optimum():
-    rng = random.Random(6)
-    for _ in range(300):
-        lengths = [rng.randint(1, 20) for _ in range(rng.randint(1, 9))]
+    rng, sizes = random.Random(6), set()
+    for k in range(600):
+        lengths = [rng.randint(4 if k % 2 else 1, 20) for _ in range(rng.randint(1, 9))]
         counts = np.bincount(lengths, minlength=21)
         fixed = packing.reduce_instance(counts, 20)
+        sizes |= {sum(k for _, k in items) for _, items in fixed}
         left = [s for s in range(21) for _ in range(int(counts[s]))]
         assert sum(m for m, _ in fixed) + (plain_best(left, 20) if left else 0) == plain_best(lengths, 20)
         assert sorted(left + [s for m, items in fixed for s, k in items for _ in range(m * k)]) == sorted(lengths)
         rest = packing.best_fit(counts, 20)
         assert sum(m * sum(s * k for s, k in items) for m, items in rest) == sum(left) and all(sum(s * k for s, k in items) <= 20 for _, items in rest)
+    assert sizes == {1, 2, 3}
+
+
+def test_reduction_on_a_long_range_of_lengths():
+    """What is fixed leaves the lower bound reachable: best fit of the rest needs no more sequences than without the reduction."""
+    rng = np.random.default_rng(13)
+    for low, high, n in ((1, 4096, 3000), (1000, 4096, 20_000), (1300, 2800, 5000), (1, 300, 100_000)):
+        counts = np.bincount(rng.integers(low, high + 1, n), minlength=4097)
+        plain = sum(m for m, _ in packing.best_fit(counts.copy(), 4096))
+        whole = packing.solve(dict(enumerate(counts.tolist())), 4096)
+        used = np.zeros(4097, np.int64)
+        for m, items in whole:
+            assert sum(size * k for size, k in items) <= 4096
+            for size, k in items:
+                used[size] += m * k
+        assert (used == counts).all()
+        assert -(-int((np.arange(4097) * counts).sum()) // 4096) <= sum(m for m, _ in whole) <= plain
 
 
 # ---- substrings ----
