@@ -19,11 +19,15 @@ def words_of(text: str) -> list[str]:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is named (tests)."""
+    """Use the folder that the cluster names in spark.checkpoint.dir. Where none is named, a local session gets a temporary one;
+    on a cluster, whose executors couldn't read that, it raises."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="plumbline-ckpt-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="plumbline-ckpt-"))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -55,3 +59,23 @@ class BoundedCache(dict):
     def room_for(self, n: int) -> None:
         if len(self) + n > self.limit:
             self.clear()
+
+
+def keep_one_of_each(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """docs without the rows that aren't the keeper of their component. placed(doc_id, text_key, component_id) has a row for each
+    of docs with an id, text_key being xxhash64 of the text. The keeper has the component's smallest doc_id, and of rows of that
+    id the smallest text_key; of rows equal in both, any one stays. Rows of a null id stay."""
+    keepers = placed.where("doc_id = component_id").groupBy("component_id").agg(F.min("text_key").alias("keeper")).withColumnRenamed("component_id", "_component")
+    judged = placed.join(keepers, placed.component_id == keepers["_component"])
+    doomed = judged.where("doc_id <> component_id or text_key <> keeper").select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_gone_text")).distinct()
+    text_key = F.xxhash64(F.coalesce(docs.text.cast("string"), F.lit("")))
+    kept = docs.join(doomed, (docs.doc_id == doomed["_gone"]) & (text_key == doomed["_gone_text"]), "left_anti")
+    copies = placed.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_again"), F.col("text_key").alias("_again_text"))
+    if copies.isEmpty():
+        return kept
+    # only rows that repeat both id and text are brought together, after a partial aggregation
+    at = (kept.doc_id == copies["_again"]) & (F.xxhash64(F.coalesce(kept.text.cast("string"), F.lit(""))) == copies["_again_text"])
+    repeated = kept.select(F.struct(*kept.columns).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_text"))
+    repeated = repeated.join(copies, (F.col("_id") == F.col("_again")) & (F.col("_text") == F.col("_again_text")), "left_semi")
+    one = repeated.groupBy("_id", "_text").agg(F.first("_row").alias("_row")).select("_row.*")
+    return kept.join(copies, at, "left_anti").unionByName(one)

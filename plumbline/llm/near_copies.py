@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialize, text_slices
+from .common import id_and_text, keep_one_of_each, materialize
 from .graph import connected_components
 from .substring import _mixed, shingle_hashes
 from .tiles import run_groups, tile_pairs
@@ -62,15 +62,18 @@ def band_keys(h: np.ndarray) -> np.ndarray:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, bands): node names the document's set of shingles."""
+    """(doc_id, text_key, node, bands): node names the document's set of shingles."""
 
     def each(batches):
-        for ids, texts in text_slices(batches):
-            sets = [shingle_set(t) for t in texts]
-            bands = pa.array([band_keys(h) for h in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([_set_id(h) for h in sets], pa.int64()), bands], ["doc_id", "node", "bands"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(t) for t in part.column(1).to_pylist()]
+                bands = pa.array([band_keys(h) for h in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([_set_id(h) for h in sets], pa.int64()), bands], ["doc_id", "text_key", "node", "bands"])
 
-    return id_and_text(docs).where("doc_id is not null").mapInArrow(each, "doc_id long, node long, bands array<long>")
+    texts = id_and_text(docs).where("doc_id is not null").withColumn("text_key", F.xxhash64("text"))
+    return texts.mapInArrow(each, "doc_id long, text_key long, node long, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -150,7 +153,8 @@ def _grouped(sets: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def near_copy_components(docs: DataFrame, similarity: float = SIMILARITY, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(doc_id, component_id) of the rows that have an id: the smallest doc_id that a chain of near copies joins each with."""
+    """(doc_id, text_key, component_id) of the rows that have an id: the smallest doc_id that a chain of near copies joins each with.
+    text_key is a hash of the text, which tells rows of one id apart."""
     rows = materialize(_rows(docs))
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
     keyed = nodes.select("node", F.explode("bands").alias("key"))
@@ -176,10 +180,10 @@ def near_copy_components(docs: DataFrame, similarity: float = SIMILARITY, tile_r
     placed = nodes.select("node", "first_id").join(named, F.col("node") == F.col("_node"), "left").select("node", "first_id", F.coalesce("_root", "node").alias("part"))
     least = placed.groupBy("part").agg(F.min("first_id").alias("component_id")).withColumnRenamed("part", "_part")
     placed = placed.join(least, placed.part == least["_part"]).select(F.col("node").alias("_of"), "component_id")
-    return rows.join(placed, rows.node == placed["_of"]).select("doc_id", "component_id")
+    return rows.join(placed, rows.node == placed["_of"]).select("doc_id", "text_key", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """docs without the documents that aren't the smallest doc_id of their component; rows with a null doc_id stay."""
-    doomed = near_copy_components(docs, similarity).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(doomed, docs.doc_id == doomed["_gone"], "left_anti")
+    """docs without the documents that aren't the smallest doc_id of their component; of rows that repeat that id one stays. Rows with a
+    null doc_id stay."""
+    return keep_one_of_each(docs, materialize(near_copy_components(docs, similarity)))

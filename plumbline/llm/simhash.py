@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialize, text_slices
+from .common import id_and_text, keep_one_of_each, materialize
 from .graph import connected_components
 from .tiles import local_roots, run_groups, tile_pairs
 
@@ -48,14 +48,17 @@ def fingerprint(text: str, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row per document, fp the fingerprint as a signed long."""
+    """(doc_id, text_key, fp): one row per document, fp the fingerprint as a signed long, text_key a hash of the text."""
 
     def each(batches):
-        for ids, texts in text_slices(batches):
-            fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                fps = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(fps.view(np.int64))], ["doc_id", "text_key", "fp"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(each, "doc_id long, fp long")
+    texts = id_and_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    return texts.mapInArrow(each, "doc_id long, text_key long, fp long")
 
 
 def block_scheme(n: int, radius: int, pair_cost: float = 1e-3) -> tuple[int, int]:
@@ -105,7 +108,8 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, tile_rows: int = 2048) ->
 
 
 def simhash_components(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id): one row per document; see the module for the defined cases."""
+    """(doc_id, fingerprint, component_id, text_key): one row per document; see the module for the defined cases. text_key is a
+    hash of the text, which tells rows of one id apart."""
     rows = materialize(fingerprints(docs, shingle, id_col, text_col))
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = connected_components(fingerprint_links(nodes.select("fp"), radius))
@@ -114,11 +118,12 @@ def simhash_components(docs: DataFrame, shingle: int = 4, radius: int = 4, id_co
     nodes = nodes.join(named, nodes.root == named.named_root).select(F.col("fp").alias("node_fp"), "component_id")
     # unsigned hexadecimal of 16 digits
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return rows.join(nodes, rows.fp == nodes.node_fp).select("doc_id", shown, "component_id")
+    return rows.join(nodes, rows.fp == nodes.node_fp).select("doc_id", shown, "component_id", "text_key")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """docs without the documents that aren't the smallest doc_id of their component; of rows that repeat that id one stays.
     Rows with a null doc_id stay: they can't be named as a group's keeper."""
-    doomed = simhash_components(docs, shingle, radius).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(doomed, docs.doc_id == doomed["_gone"], "left_anti")
+    texts = id_and_text(docs).where("doc_id is not null")
+    placed = simhash_components(texts, shingle, radius).select("doc_id", "text_key", "component_id")
+    return keep_one_of_each(docs, materialize(placed))

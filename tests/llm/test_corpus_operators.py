@@ -85,7 +85,7 @@ def test_simhash_defined_cases(spark):
     assert [r[:2] for r in rows] == [(0, 0), (0, 1), (1, 1), (3, 1), (4, 4), (4, 4)] and rows[2][2] == "0" * 16
     assert simhash.simhash_components(docs.where("false")).count() == 0
     kept = simhash.drop_near_duplicates(docs)
-    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 4, 4]
+    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 4]
 
 
 # ---- embeddings ----
@@ -290,3 +290,79 @@ def test_against_brute_force_on_whole_documents(spark):
         assert len(mine & earlier) >= 0.8 * len(mine)
     missing = [(i, k) for i in text for k in range(len(text[i]) - 50) if first[" ".join(text[i][k : k + 51])] < i and not any(a <= k and k + 51 <= b for a, b in spans.get(i, []))]
     assert not missing
+
+
+def edited(rng, base, places):
+    w = base.copy()
+    for p in places:
+        w[p] = "".join(rng.choice("klmnop") for _ in range(6))
+    return w
+
+
+def passage_family(rng, kind):
+    """Versions of one passage without shifts."""
+    if kind == "one edit":
+        base = words(rng, rng.randint(51, 60))
+        return [base, edited(rng, base, [rng.randrange(len(base))])]
+    if kind == "an unlike first version":
+        base = words(rng, 51)
+        return [edited(rng, base, [24 + rng.randrange(-4, 1), 24 + rng.randrange(2, 6)]), base, edited(rng, base, [rng.randrange(51)])]
+    if kind == "slots":
+        base, values = words(rng, 60), [words(rng, 3) for _ in range(3)]
+        family = [base.copy() for _ in range(8)]
+        for w in family:
+            for at, some in zip((14, 30, 46), values, strict=True):
+                w[at] = rng.choice(some)
+        return family
+    base = words(rng, 150)  # one edit in 30 words
+    return [base, edited(rng, base, [p + rng.randrange(20) for p in range(0, 150, 30)])]
+
+
+def near(a, b):
+    same = [a[i : i + 5] == b[i : i + 5] for i in range(min(len(a), len(b)) - 4)]
+    return any(sum(same[i : i + 47]) >= 42 for i in range(len(same) - 46))
+
+
+def test_recall_of_near_copies_of_passages(spark):
+    """At least 0.98 of the documents that have a passage of similarity 0.8 and more with an earlier one, by brute force over their families."""
+    rng, rows, body, like = random.Random(14), [], {}, {}
+    for kind, n in (("one edit", 100), ("an unlike first version", 100), ("slots", 25), ("long", 50)):
+        for _ in range(n):
+            family = []
+            for w in passage_family(rng, kind):
+                i = len(rows)
+                rows.append((i, " ".join(words(rng, rng.randint(0, 60)) + w + words(rng, rng.randint(0, 60)))))
+                if any(near(w, body[j]) for j in family):
+                    like.setdefault(kind, set()).add(i)
+                body[i] = w
+                family.append(i)
+    got = {r.doc_id for r in substring.repeated_passages(docs_of(spark, rows)).collect()}
+    assert not got - set().union(*like.values())
+    for kind, want in like.items():
+        assert len(want & got) >= 0.98 * len(want), kind
+
+
+def test_surroundings_that_do_not_fit_in_a_task_are_dealt_by_class(spark):
+    rng = random.Random(15)
+    p = words(rng, 60)
+    docs = docs_of(spark, [(i, " ".join(words(rng, 40) + edited(rng, p, [rng.randrange(60)]) + words(rng, 40))) for i in range(60)] + [(i, " ".join(words(rng, 30) + p)) for i in range(60, 90)])
+    found = substring.windows(docs)
+    want = {(r.a, r.b, r.diag) for r in substring.candidate_intervals(found).collect()}
+    small = {(r.a, r.b, r.diag): (r.lo, r.hi) for r in substring.candidate_intervals(found, held_rows=3).collect()}
+    assert {a for a, _, _ in small} == {a for a, _, _ in want} and all(hi - lo + 1 >= 47 for lo, hi in small.values())
+
+
+def test_rows_that_repeat_an_id(spark):
+    """Each row is cut by its own passages; of copies one row stays in the near-duplicate operators."""
+    from plumbline.llm import near_copies
+
+    rng = random.Random(16)
+    p, free = words(rng, 60), " ".join(words(rng, 100))
+    docs = docs_of(spark, [(1, " ".join(p)), (5, free), (5, " ".join(words(rng, 20) + p)), (7, " ".join(words(rng, 90)))])
+    left = sorted((r.doc_id, len(r.text.split())) for r in substring.remove_repeats(docs).collect())
+    assert left == [(1, 60), (5, 20), (5, 100), (7, 90)]
+    again = docs_of(spark, [(5, free), (5, free), (6, free), (8, " ".join(p)), (9, " ".join(p)), (9, "something else that is short"), (None, free), (None, free)]).selectExpr("*", "1 as node", "2 as text_key")
+    for drop in (simhash.drop_near_duplicates, near_copies.drop_near_copies):
+        kept = drop(again)
+        assert kept.columns == again.columns
+        assert sorted((r.doc_id or 0, len(r.text.split())) for r in kept.collect()) == [(0, 100), (0, 100), (5, 100), (8, 60), (9, 5)]

@@ -63,9 +63,9 @@ def test_stages_with_odd_tables(spark):
     docs, _, _ = fixture(spark)
     odd = docs.unionByName(docs.where("doc_id = 3")).unionByName(spark.createDataFrame([(None, " ".join(prose(random.Random(1), 40)), None, None, None)], DOCS))
     odd = odd.selectExpr("*", "1 as n_words", "'x' as _cuts", "2 as fp", "'y' as component_id", "3 as _kept", "4 as a", "5 as length")
-    for df, columns in zip(staged(spark, odd)[:-1], [odd.columns] * 4, strict=True):
+    for df, copies in zip(staged(spark, odd)[:-1], (2, 1, 1, 1), strict=True):  # of repeated rows one stays from the second stage on
         rows = df.collect()
-        assert df.columns == columns and sum(r.doc_id == 3 for r in rows) == 2 and sum(r.doc_id is None for r in rows) == 1
+        assert df.columns == odd.columns and sum(r.doc_id == 3 for r in rows) == copies and sum(r.doc_id is None for r in rows) == 1
     for df in staged(spark, odd.where("false")):
         assert df.count() == 0
     assert quality.keep_good(odd).columns == odd.columns and tokenizer_file("word_bpe_49k.json")
