@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 # Patterns and labels of the data this engine reads.
 NIL = ["", "-", "—", "–", "N/A", "NA"]
-THOUSAND_WORDS = r"(?i)((sri\s+lanka\s+)?rupees?\s+(in\s+)?thousands?|(in\s+)?thousands?\s+of\s+(rs\.?|rupees?|lkr))"
+THOUSAND_WORDS = r"(?i)rupees?\s+(in\s+)?thousand|thousands?\s+of\s+(rs|rupee|lkr)"
 MILLION = r"(?i)(rs\.?|lkr)\s*(in\s*)?(mn|million)"
 BILLION = r"(?i)(rs\.?|lkr)\s*(in\s*)?(bn|billion)"
-THOUSAND_MARK = r"(?i)((rs\.?|lkr)\s*(in\s*)?['‘’]?000s?|['‘’]000s?|\b000s\b)"
+THOUSAND_MARK = r"(?i)(rs\.?|lkr)\s*(in\s*)?000|['‘’]000|\b000s\b"
 PLAIN = r"(?i)\b(rs(\.)?|lkr)(\s|$|['0-9)])"
 EXCLUDED_TITLE = r"(?i)\b(errata|trust deed|prospectus|articles? of association|accountants?' report|key investor information|bond framework)\b"
 ANNUAL_TITLE = r"(?i)\b(annual report|audited financial statements?)\b"
@@ -20,8 +20,8 @@ DIVIDEND_TYPES = (
     ("typeFinalInt", "final interim"), ("firstAndFinal", "first and final"), ("finalDividend", "final"), ("typeOther", "other"),
 )
 GROUP_ALIASES = {"real estate management & development": "real estate", "software & services": "technology hardware & equipment"}
-ONE_OFF_PHRASE = r"(?i)\b(one[- ]off|non[- ]recurring|exceptional item|extraordinary item)"
-ONE_OFF_OUTCOME = r"(?i)\b(gain|loss|profit|income|expense|charge|impairment|disposal)"
+ONE_OFF_PHRASE = r"(?i)\b(one[- ]off|non[- ]recurring|exceptional\s+(item|gain|loss|charge|income|expense)s?)\b"
+ONE_OFF_OUTCOME = r"(?i)\b(profit|loss|gain|earnings|income|expense|charge)\b"
 
 
 def parse_number(text: Column) -> Column:
@@ -103,10 +103,11 @@ def market_share_note(method: Column) -> Column:
     return F.when(method.startswith("cse_market_data"), "share count implied by market data")
 
 
-def excerpt(line: Column, at: Column, before: int = 180, after: int = 220) -> Column:
-    """The stretch of a line around a 1-based position."""
+def excerpt_around(line: Column, pattern: str, before: int = 180, after: int = 220) -> Column:
+    """The stretch of a line from so many characters before a pattern's first match to so many behind its end."""
+    at = F.regexp_instr(line, F.lit(pattern))
     start = F.greatest(F.lit(1), at - before)
-    return F.substring(line, start, at - start + after)
+    return F.substring(line, start, at + F.length(F.regexp_extract(line, pattern, 0)) + after - start)
 
 
 CELL = r"^(\(-?\d[\d,]*(\.\d+)?\)|-?\d[\d,]*(\.\d+)?)%?\*{0,2}$"
@@ -123,3 +124,9 @@ def longest_run(tokens: Column) -> Column:
         return F.struct(run.alias("run"), (acc["i"] + 1).alias("i"), F.when(better, run).otherwise(acc["n"]).alias("n"), F.when(better, acc["i"]).otherwise(acc["last"]).alias("last"))
 
     return F.aggregate(tokens, start, step, lambda a: F.struct(a["n"].alias("n"), a["last"].alias("last")))
+
+
+def upper_median(values: Column) -> Column:
+    """An aggregate: the middle value, the upper one of two."""
+    ordered = F.array_sort(F.collect_list(values))
+    return F.element_at(ordered, (F.floor(F.size(ordered) / 2) + 1).cast("int"))

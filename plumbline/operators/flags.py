@@ -48,9 +48,9 @@ def relative_flags(df: DataFrame, group: list[str], **thresholds) -> DataFrame:
     out = df.join(m, group, "left") if group else df.crossJoin(F.broadcast(m))  # a single row when there is no group
     high, low = t["relative_high"], t["relative_low"]
     flags = F.array(
-        F.when((C("pe") > 0) & (C("pe") > high * C("_pe")), "P/E unusually high relative to group median"),
-        F.when((C("pb") > 0) & (C("pb") > high * C("_pb")), "P/B unusually high relative to group median"),
-        F.when((C("pb") > 0) & (C("pb") < low * C("_pb")), "P/B unusually low relative to group median"),
+        F.when((C("pe") > 0) & (C("pe") > high * C("_pe")), "P/E unusually high relative to sector median"),
+        F.when((C("pb") > 0) & (C("pb") > high * C("_pb")), "P/B unusually high relative to sector median"),
+        F.when((C("pb") > 0) & (C("pb") < low * C("_pb")), "P/B unusually low relative to sector median"),
     )
     return out.withColumn("relative_flags", F.concat_ws("; ", F.array_compact(flags))).drop("_pe", "_pb")
 

@@ -43,6 +43,16 @@ def apply_universe(official: DataFrame, include: DataFrame, exclude: DataFrame,
     return out.select(F.coalesce("ticker", "_x").alias("ticker"), *COMPANY, member.alias("membership"), C("_x").isNull().alias("included"))
 
 
+def members(audit: DataFrame) -> DataFrame:
+    """The universe: what apply_universe includes, sorted by ticker."""
+    return audit.where("included").drop("included").orderBy("ticker")
+
+
+def audit_rows(audit: DataFrame) -> DataFrame:
+    """One row for each ticker that is selected or excluded, sorted."""
+    return audit.orderBy("ticker")
+
+
 def check_corrections(corrections: DataFrame) -> None:
     """Raises on missing fields, repeated ids, unknown states, pages below one, or two active corrections of one target."""
     needed = ("id", "status", "ticker", "metric", "financial_period", "source_document", "value", "reason", "author")

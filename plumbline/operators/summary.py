@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import render_metric
+
 C = F.col
 
 
@@ -30,9 +34,10 @@ def missing_fields(df: DataFrame, fields: list[str]) -> DataFrame:
 def warning_groups(review: DataFrame, show: int = 3) -> DataFrame:
     """(rule, n, tickers, reasons, more): issuers sorted; the first reasons in order of arrival, and how many more there are. Reasons are
     counted in an aggregation of their own, so a rule's rows aren't held together. review needs `ord`."""
-    reasons = review.groupBy("rule", "reason").agg(F.count("*").alias("k"), F.min("ord").alias("first"))
+    base = review.groupBy("rule", "reason", "ticker").agg(F.count("*").alias("k"), F.min("ord").alias("first"))  # one exchange, that both sides reuse
+    reasons = base.groupBy("rule", "reason").agg(F.sum("k").alias("k"), F.min("first").alias("first"))
     r = reasons.groupBy("rule").agg(F.sum("k").alias("n"), F.sort_array(F.collect_list(F.struct("first", "reason"))).alias("r"))
-    t = review.groupBy("rule").agg(F.concat_ws(", ", F.array_sort(F.collect_set("ticker"))).alias("tickers"))
+    t = base.groupBy("rule").agg(F.concat_ws(", ", F.array_sort(F.collect_set("ticker"))).alias("tickers"))
     shown = F.concat_ws(" | ", F.transform(F.slice("r", 1, show), lambda x: x["reason"]))
     return r.join(t, "rule").select("rule", "n", "tickers", shown.alias("reasons"), F.greatest(F.size("r") - show, F.lit(0)).alias("more"))
 
@@ -59,6 +64,53 @@ def all_components(rows: DataFrame, by: list[str], label: str, value: str, wante
     return first.groupBy(*by).agg(F.sum(value).alias(value), F.count("*").alias("_n")).where(C("_n") == len(wanted)).drop("_n")
 
 
+def review_rows(origins: dict[str, DataFrame]) -> DataFrame:
+    """All review rows in one table: of the parser, the validation, the basis of a period, missing metrics and documents' errors. Rows without
+    a rule of their own have their origin's name; columns that an origin lacks are null."""
+    parts = [df if "rule" in df.columns else df.withColumn("rule", F.lit(name)) for name, df in origins.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+#: What the summary shows of each.
+MEDIANS = ("roe", "dividend_yield", "pe", "debt_to_equity", "revenue_growth")
+EXTREMES = ("flow_revenue", "flow_net_profit", "eps", "roe", "operating_cash_flow", "free_cash_flow", "dps", "average_volume")
+COMPLETE = ("price", "market_cap", "flow_revenue", "flow_net_profit", "eps", "roe", "roa", "debt_to_equity", "operating_cash_flow", "free_cash_flow", "pe", "pb", "dps", "dividend_yield")
+PERCENT = ("roe", "roa", "dividend_yield", "revenue_growth", "payout")
+NAMES = {"flow_revenue": "Revenue", "flow_net_profit": "Net Profit", "eps": "EPS", "roe": "ROE", "roa": "ROA", "pe": "P/E", "pb": "P/B", "dps": "DPS", "operating_cash_flow": "Operating Cash Flow", "free_cash_flow": "Free Cash Flow", "debt_to_equity": "Debt-to-Equity", "dividend_yield": "Dividend Yield", "revenue_growth": "Revenue Growth", "average_volume": "Average Daily Volume", "price": "Current Price", "market_cap": "Market Cap"}
+CLOSING = "Values above are descriptive observations only. This report contains no ranking, score, selection, or investment recommendation."
+
+
+def summary_lines(title: str, screening: DataFrame, review: DataFrame) -> DataFrame:
+    """(section, key, line): the summary's text in order of section and key. Its lists grow with the issuers, so it stays a table until it
+    is written; screening needs ticker, data_confidence, income_period and flags, review ticker, rule, reason and ord."""
+    spark = screening.sparkSession
+    has = lambda names: [m for m in names if m in screening.columns]
+    name = lambda c: F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in NAMES.items() for x in kv]), c), c)
+    shown = lambda c, v: F.when(c.isin(*PERCENT), render_metric(v, "percent")).otherwise(render_metric(v, "ratio"))
+    lines = lambda df, section, key, line: df.select(F.lit(section).alias("section"), key.cast("string").alias("key"), line.alias("line"))
+    text = [(1, "0", f"# {title}"), (2, "", "## Period basis"), (3, "", "## Sector medians"), (4, "", "## Highest and lowest observed values"), (5, "", "## Missing data"), (6, "", "## Anomaly flag counts"), (7, "", "## Extraction warnings"), (9, "", CLOSING)]
+    counts = confidence_counts(screening).crossJoin(screening.agg(F.count("*").alias("n")))  # two single rows
+    said = F.concat(F.lit("Companies processed: "), C("n"), F.lit("; high data confidence: "), C("high"), F.lit("; review: "), C("review"), F.lit("; low: "), C("low"), F.lit("."))
+    long = screening.select("ticker", *[C(m).cast("double").alias(m) for m in has(dict.fromkeys((*MEDIANS, *EXTREMES)))])
+    order = lambda names: F.array_position(F.array(*map(F.lit, names)), C("metric")).cast("string")
+    med = medians(long, has(MEDIANS))
+    values = long.unpivot(["ticker"], has(EXTREMES), "metric", "value").where("value is not null")
+    ends = values.groupBy("metric").agg(F.max_by("ticker", F.struct("value", "ticker")).alias("hi"), F.max("value").alias("hv"), F.min_by("ticker", F.struct("value", "ticker")).alias("lo"), F.min("value").alias("lv"))
+    absent = F.concat_ws(", ", F.array_compact(F.array(*[F.when(C(m).isNull(), F.lit(NAMES.get(m, m))) for m in has(COMPLETE)])))
+    flags = screening.select(F.explode(F.split("flags", "; ")).alias("flag")).where("flag <> ''").groupBy("flag").agg(F.count("*").alias("n"))
+    warned = warning_groups(review).withColumn("head", F.concat(F.lit("- `"), C("rule"), F.lit("`: "), C("n"), F.lit(" items ("), C("tickers"), F.lit("): "), C("reasons"), F.when(C("more") > 0, F.concat(F.lit("; and "), C("more"), F.lit(" more distinct reasons"))).otherwise("")))
+    parts = [
+        spark.createDataFrame(text, "section int, key string, line string"), lines(counts, 1, F.lit("1"), said),
+        lines(basis_counts(screening, "income_period"), 2, C("basis"), F.concat(F.lit("- "), C("basis"), F.lit(": "), C("n"), F.lit(" companies"))),
+        lines(med, 3, order(has(MEDIANS)), F.concat(F.lit("- Sector median "), name(C("metric")), F.lit(": "), shown(C("metric"), C("median")), F.lit(" ("), C("observations"), F.lit(" companies)"))),
+        lines(ends, 4, order(has(EXTREMES)), F.concat(F.lit("- "), name(C("metric")), F.lit(": highest "), C("hi"), F.lit(" ("), shown(C("metric"), C("hv")), F.lit("); lowest "), C("lo"), F.lit(" ("), shown(C("metric"), C("lv")), F.lit(")"))),
+        lines(screening.withColumn("_absent", absent).where("_absent <> ''"), 5, C("ticker"), F.concat(F.lit("- "), C("ticker"), F.lit(": "), C("_absent"))),
+        lines(flags, 6, C("flag"), F.concat(F.lit("- "), C("flag"), F.lit(": "), C("n"))),
+        lines(warned, 7, C("rule"), C("head")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def markdown(title: str, sections: dict[str, list[dict]]) -> str:
     """A plain summary from small aggregates that are on the driver already."""
     out = [f"# {title}", ""]

@@ -1,73 +1,114 @@
 """Identities between facts of one document: confidence is taken down where they fail, and each failure is a review row.
 
-Works on one wide row per document with columns x and x_conf, rule after rule in a fixed order, as later rules read what
-earlier ones changed."""
+The rules work on one wide row per document with columns x and x_conf, rule after rule in a fixed order, as later rules read
+what earlier ones changed; `validate_facts` makes these rows of long facts and brings the outcome back."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import fact_id
+from .ranking import top
+
 C = F.col
 CAP, GATE = 0.60, 0.80
-
-
-def _lowered(df: DataFrame, test: Column, metrics: list[str], by: float | None = None) -> DataFrame:
-    """Confidences less `by` (not below zero), or capped, where test holds."""
-    return df.withColumns({f"{m}_conf": F.when(test, F.greatest(F.lit(0.0), C(f"{m}_conf") - by) if by is not None else F.least(C(f"{m}_conf"), F.lit(CAP))).otherwise(C(f"{m}_conf")) for m in metrics})
-
-
-def _rule(name: str, test: Column) -> Column:
-    return F.when(F.coalesce(test, F.lit(False)), F.lit(name))
-
-
-def validate(wide: DataFrame, single_class: bool = True) -> DataFrame:
-    """wide(id.., revenue, net_profit, eps, dps, total_assets, total_liabilities, total_equity, ordinary_equity, bvps,
-    ordinary_shares_outstanding, market_shares, each x with x_conf) -> the same with rules array<string>, changed confidences, and shares
-    rescaled where a printed scale was missed."""
-    d = wide
-    a, li, e = C("total_assets"), C("total_liabilities"), C("total_equity")
-    unequal = F.coalesce(F.abs(a - li - e) > F.greatest(F.abs(a) * 0.05, F.lit(1.0)), F.lit(False))
-    scale = F.coalesce(F.abs("net_profit") > 2 * F.abs("revenue"), F.lit(False))
-    weak = [F.coalesce(C(f"{m}_conf") < GATE, F.lit(False)) for m in ("revenue", "net_profit", "eps", "total_equity", "ordinary_shares_outstanding") if f"{m}_conf" in d.columns]
-    low = weak[0]
-    for w in weak[1:]:
-        low = low | w
-    profit = F.coalesce("net_profit_attributable", "net_profit") if "net_profit_attributable" in d.columns else C("net_profit")
-    d = d.withColumns({"_low": low, "_eq": unequal, "_scale": scale})
-    d = _lowered(d, C("_eq"), ["total_assets", "total_liabilities", "total_equity"], 0.15)
-    d = _lowered(d, C("_scale"), ["net_profit", "revenue"], 0.12)
-    if not single_class:
-        return d.withColumn("rules", F.array_compact(F.array(_rule("low_confidence", C("_low")), _rule("accounting_equation", C("_eq")), _rule("profit_revenue_scale", C("_scale"))))).drop("_low", "_eq", "_scale")
-    shares = C("ordinary_shares_outstanding")
-    sign = F.coalesce(F.signum("eps") * F.signum(profit) < 0, F.lit(False))
-    ratio = F.try_divide(C("eps"), F.try_divide(profit, shares))
-    d = d.withColumn("_sign", sign)
-    d = _lowered(d, C("_sign"), ["eps"])
-    d = d.withColumn("_eps", ~C("_sign") & F.coalesce(~ratio.between(0.33, 3.0), F.lit(False)))
-    # a count of shares in thousands or millions explains an impossible ratio: shares are put right before EPS is doubted
-    implied = F.when(~C("_sign"), F.try_divide(profit, C("eps")))
-    market = C("market_shares") if "market_shares" in d.columns else F.lit(None).cast("double")
-    off = lambda s, r, tol: F.coalesce((r != 0) & (F.abs(s - r) > F.abs(r) * tol), F.lit(False))
-    close = lambda s, r: F.coalesce((r != 0) & (F.abs(s - r) <= F.abs(r) * 0.05), F.lit(False))
-    wrong = off(shares, implied, 0.25) | off(shares, market, 0.35)
-    fits = lambda k: close(shares * k, implied) | close(shares * k, market)
-    factor = F.when(wrong & fits(1000), 1000.0).when(wrong & fits(1000000), 1000000.0)
-    d = d.withColumns({"_factor": factor, "_wrong": wrong})
-    d = d.withColumns({"_eps": C("_eps") & C("_factor").isNull(), "_count": C("_wrong") & C("_factor").isNull(), "ordinary_shares_outstanding": shares * F.coalesce("_factor", F.lit(1.0))})
-    d = _lowered(d, C("_eps"), ["eps"])
-    d = _lowered(d, C("_count"), ["ordinary_shares_outstanding"])
-    if "bvps" in d.columns:
-        implied_bvps = F.when(C("ordinary_equity_conf") >= GATE, F.try_divide(C("ordinary_equity"), C("ordinary_shares_outstanding")))
-        d = d.withColumn("_bvps", off(C("bvps"), implied_bvps, 0.15))
-        d = _lowered(d, C("_bvps"), ["bvps"])
-    else:
-        d = d.withColumn("_bvps", F.lit(False))
-    d = d.withColumn("_dps", F.coalesce((C("dps") < 0) | ((C("eps_conf") >= GATE) & (C("dps") > F.greatest(5 * F.abs("eps"), F.lit(1.0)))), F.lit(False)))
-    d = _lowered(d, C("_dps"), ["dps"])
-    rules = [("low_confidence", "_low"), ("accounting_equation", "_eq"), ("profit_revenue_scale", "_scale"), ("eps_profit_sign", "_sign"), ("eps_identity", "_eps"), ("share_count_identity", "_count"), ("bvps_identity", "_bvps"), ("dps_range", "_dps")]
-    d = d.withColumn("rules", F.array_compact(F.array(*[_rule(n, C(c)) for n, c in rules])))
-    return d.withColumnRenamed("_factor", "shares_factor").drop("_wrong", *[c for _, c in rules])
+#: Tolerances of a count against profit / EPS and against the market, of a scaled count, of book value per share.
+NEAR_PROFIT, NEAR_MARKET, NEAR_SCALED, NEAR_BOOK = 0.25, 0.35, 0.05, 0.15
+SCALES = (1000.0, 1000000.0)
+METRICS = ("revenue", "net_profit", "net_profit_attributable", "eps", "dps", "total_assets", "total_liabilities", "total_equity", "ordinary_equity", "bvps", "ordinary_shares_outstanding")
+#: The rules and the metrics that a failure of each is reported for.
+RULES = (
+    ("accounting_equation", ("total_assets", "total_liabilities", "total_equity")), ("profit_revenue_scale", ("revenue", "net_profit")), ("eps_profit_sign", ("eps",)), ("eps_identity", ("eps",)),
+    ("share_count_identity", ("ordinary_shares_outstanding",)), ("bvps_identity", ("bvps",)), ("dps_range", ("dps",)),
+)
+
+
+def _holds(test: Column) -> Column:
+    return F.coalesce(test, F.lit(False))
+
+
+def _near(value: Column, reference: Column, tolerance: float) -> Column:
+    return _holds((reference != 0) & (F.abs(value - reference) <= F.abs(reference) * tolerance))
+
+
+def validate(wide: DataFrame) -> DataFrame:
+    """wide(id.., x and x_conf for METRICS; market_shares, null where an issuer has several share classes; optional bvps_printed,
+    whether book value per share stands on the statement itself, and reconciled, whether the document's counts are compared)
+    -> the same with rules array<string>, changed confidences, and shares rescaled by shares_factor where a printed scale was missed.
+
+    A count of shares is right if it is near any of its references: profit / EPS, as long as EPS is reliable, or the market's."""
+    absent = {f"{m}{x}": F.lit(None).cast("double") for m in METRICS for x in ("", "_conf")} | {"market_shares": F.lit(None).cast("double"), "bvps_printed": F.lit(False), "reconciled": F.lit(True)}
+    made = [c for c in absent if c not in wide.columns]
+    d = wide.withColumns({c: absent[c] for c in made}) if made else wide
+    a, e = C("total_assets"), C("total_equity")
+    profit, eps, shares = F.coalesce("net_profit_attributable", "net_profit"), C("eps"), C("ordinary_shares_outstanding")
+    market = F.nullif(C("market_shares").cast("double"), F.lit(0.0))
+    d = d.withColumns({
+        "_low": reduce(lambda x, y: x | y, [_holds(C(f"{m}_conf") < GATE) for m in METRICS]),
+        "accounting_equation": _holds((a != 0) & (F.abs(a - C("total_liabilities") - e) > F.greatest(F.abs(a) * 0.05, F.lit(1.0)))),
+        "profit_revenue_scale": _holds((C("revenue") != 0) & (F.abs("net_profit") > 2 * F.abs("revenue"))),
+        "eps_profit_sign": _holds((eps != 0) & (profit != 0) & ((eps > 0) != (profit > 0))),
+        "_market": market,
+    })
+    ratio = F.abs(F.try_divide(eps, F.try_divide(profit, C("_market"))))
+    d = d.withColumn("eps_identity", ~C("eps_profit_sign") & _holds((eps != 0) & ~ratio.between(0.33, 3.0)))
+    usable = _holds(eps.isNotNull() & (C("eps_conf") >= GATE)) & ~C("eps_profit_sign") & ~C("eps_identity")
+    implied = F.try_divide(profit, eps)
+    d = d.withColumns({"_usable": usable, "_implied": F.when(usable & C("reconciled") & (implied > 0), implied), "_reference": F.when(C("reconciled"), C("_market"))})
+    references = ((C("_implied"), NEAR_PROFIT), (C("_reference"), NEAR_MARKET))
+    matched = reduce(lambda x, y: x | y, [_near(shares, r, t) for r, t in references])
+    off = _holds(shares != 0) & (C("_implied").isNotNull() | C("_reference").isNotNull()) & ~matched
+    fits = lambda k: _near(shares * k, C("_implied"), NEAR_SCALED) | _near(shares * k, C("_reference"), NEAR_SCALED)
+    d = d.withColumn("shares_factor", F.coalesce(*[F.when(off & fits(k), k) for k in SCALES]))
+    d = d.withColumns({"share_count_identity": off & C("shares_factor").isNull(), "ordinary_shares_outstanding": shares * F.coalesce("shares_factor", F.lit(1.0))})
+    count = F.when(_holds(C("ordinary_shares_outstanding_conf") >= GATE) & ~C("share_count_identity"), C("ordinary_shares_outstanding"))
+    expected = F.when(_holds(C("ordinary_equity_conf") >= GATE) & C("reconciled"), F.try_divide(C("ordinary_equity"), F.coalesce(count, C("_market"))))
+    d = d.withColumn("bvps_identity", _holds((expected > 0) & C("bvps").isNotNull()) & ~_near(C("bvps"), expected, NEAR_BOOK))
+    d = d.withColumn("dps_range", _holds(C("dps") < 0) | (C("_usable") & _holds(C("dps") > F.greatest(5 * F.abs(eps), F.lit(1.0)))))
+    less = lambda m, rule, by: F.when(C(rule), F.greatest(F.lit(0.0), C(f"{m}_conf") - by)).otherwise(C(f"{m}_conf"))
+    capped = lambda m, test: F.when(test, F.least(C(f"{m}_conf"), F.lit(CAP))).otherwise(C(f"{m}_conf"))
+    d = d.withColumns(
+        {f"{m}_conf": less(m, "accounting_equation", 0.15) for m in RULES[0][1]} | {f"{m}_conf": less(m, "profit_revenue_scale", 0.12) for m in RULES[1][1]}
+        | {
+            "eps_conf": capped("eps", C("eps_profit_sign") | C("eps_identity")), "ordinary_shares_outstanding_conf": capped("ordinary_shares_outstanding", C("share_count_identity")),
+            # what is printed on the statement itself stands, and is only noted
+            "bvps_conf": capped("bvps", C("bvps_identity") & ~C("bvps_printed")), "dps_conf": capped("dps", C("dps_range")),
+        }
+    )
+    names = F.array_compact(F.array(F.when(C("_low"), F.lit("low_confidence")), *[F.when(C(r), F.lit(r)) for r, _ in RULES]))
+    return d.withColumn("rules", names).drop("_low", "_market", "_usable", "_implied", "_reference", *[r for r, _ in RULES], *made)
+
+
+def selected_facts(facts: DataFrame) -> DataFrame:
+    """The fact of each document and metric that the rules read: the one of most confidence, the first of ties; whether it has a value
+    isn't asked."""
+    return top(facts, ["doc_id", "metric"], [C("confidence").desc(), C("ord").asc()])
+
+
+def validate_facts(facts: DataFrame, context: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """facts(doc_id, metric, value, confidence, ord, ..), context(doc_id, market_shares, reconciled) -> (facts with changed confidences and
+    rescaled counts, issues(doc_id, metric, rule)). Every fact below the gate is an issue; the other rules read the selected ones."""
+    chosen = selected_facts(facts.where(C("metric").isin(*METRICS)))
+    pick = lambda m, c: F.max(F.when(C("metric") == m, C(c)))
+    printed = pick("bvps", "extraction_method").startswith("primary_") if "extraction_method" in facts.columns else F.lit(False)
+    both = [pick(m, c).cast("double").alias(m + x) for m in METRICS for c, x in (("value", ""), ("confidence", "_conf"))]
+    wide = chosen.groupBy("doc_id").agg(*both, *[pick(m, "ord").alias(f"{m}_ord") for m in METRICS], F.coalesce(printed, F.lit(False)).alias("bvps_printed"))
+    wide = wide.join(context.select(C("doc_id").alias("_doc"), "market_shares", "reconciled"), C("doc_id") == C("_doc"), "left").drop("_doc")
+    done = validate(wide.withColumn("reconciled", F.coalesce("reconciled", F.lit(False))))
+    factor = lambda m: C("shares_factor") if m == "ordinary_shares_outstanding" else F.lit(None).cast("double")
+    own = lambda m: F.filter("rules", lambda r: r.isin(*[n for n, of in RULES if m in of]))
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), C(f"{m}_ord").alias("ord"), C(f"{m}_conf").alias("conf"), factor(m).alias("factor"), own(m).alias("rules")) for m in METRICS])).alias("x")
+    changes = done.select(C("doc_id").alias("_doc"), each).select("_doc", C("x.metric").alias("_metric"), C("x.ord").alias("_ord"), "x.conf", "x.factor", "x.rules").where("_ord is not null and (size(rules) > 0 or factor is not null)")
+    same = (C("doc_id") == C("_doc")) & (C("metric") == C("_metric")) & (C("ord") == C("_ord"))
+    put = facts.join(changes, same, "left")
+    kinds = dict(facts.dtypes)
+    new = {"confidence": F.coalesce("conf", C("confidence").cast("double")).cast(kinds["confidence"]), "value": F.when(C("factor").isNotNull(), C("value") * C("factor")).otherwise(C("value")).cast(kinds["value"])}
+    out = put.select(*[new[c].alias(c) if c in new else C(c) for c in facts.columns])
+    low = facts.where(C("confidence").cast("double") < GATE).select("doc_id", "metric", F.lit("low_confidence").alias("rule"))
+    return out, low.unionByName(changes.select(C("_doc").alias("doc_id"), C("_metric").alias("metric"), F.explode("rules").alias("rule")))
 
 
 def derive_identities(df: DataFrame) -> DataFrame:
@@ -80,6 +121,24 @@ def derive_identities(df: DataFrame) -> DataFrame:
     return df
 
 
+def with_identities(facts: DataFrame) -> DataFrame:
+    """facts(doc_id, metric, value, confidence, ord, ..) and those that follow from the others of their document, with the least confidence of
+    what they follow from."""
+    names = ("total_assets", "total_liabilities", "total_equity", "ordinary_equity", "minority_interest")
+    chosen = selected_facts(facts.where(C("metric").isin(*names) & C("value").isNotNull()))
+    wide = chosen.groupBy(*[c for c in ("doc_id", "ticker") if c in facts.columns]).agg(*[F.max(F.when(C("metric") == m, C("value").cast("double"))).alias(m) for m in names], F.min("confidence").alias("confidence"), F.max("ord").alias("ord"))
+    filled = derive_identities(wide.withColumns({f"_{m}": C(m) for m in names}))
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.when(C(f"_{m}").isNull(), C(m)).alias("value")) for m in names[1:4]])).alias("x")
+    rows = filled.select(*[c for c in ("doc_id", "ticker", "confidence", "ord") if c in filled.columns], each).select("*", "x.*").drop("x").where("value is not null")
+    kinds = dict(facts.dtypes)
+    rows = rows.select(*[C(c).cast(kinds[c]).alias(c) for c in rows.columns])
+    if "extraction_method" in facts.columns:
+        rows = rows.withColumn("extraction_method", F.lit("derived"))
+    if "fact_id" in facts.columns:
+        rows = rows.withColumn("fact_id", fact_id(C("doc_id"), F.lit("derived"), C("metric")))
+    return facts.unionByName(rows, allowMissingColumns=True)
+
+
 def cross_period_scale(annual: DataFrame, interim: DataFrame, factor: float = 20.0) -> DataFrame:
     """Metrics whose interim amount is more than `factor` times off the annual one."""
     i = interim.select("ticker", "metric", C("value").alias("interim_value"))

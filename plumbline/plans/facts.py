@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 C = F.col
 LAST_FY = 2000
 FACTS = ("revenue", "net_profit", "net_profit_attributable", "operating_cash_flow", "capital_expenditure", "ordinary_shares_outstanding", "eps", "dps", "total_equity", "ordinary_equity", "total_assets", "total_liabilities", "total_debt", "cash")
@@ -17,12 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def period_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(issuer, fy, h1, month sums): exact decimal sums, so their order doesn't matter."""
+    """(issuer, fy, h1, month sums): exact decimal sums, so their order doesn't matter. The one pass over lineitem: what is made of the sums,
+    in several branches, reads the checkpoint, which has a row for each issuer and half-year."""
     li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("fy"), (F.month("o_orderdate") <= 6).alias("h1"))
     e, d, x, n = C("l_extendedprice").cast("decimal(18,2)"), C("l_discount").cast("decimal(4,2)"), C("l_tax").cast("decimal(4,2)"), C("l_quantity").cast("decimal(18,2)")
     lit = lambda v: F.lit(v).cast("decimal(4,2)")
     rows = li.join(o, li.l_orderkey == o.o_orderkey)
-    return rows.groupBy(C("l_suppkey").alias("issuer"), "fy", "h1").agg(F.sum(e * (lit(1) - d)).alias("rev"), F.sum(e * (lit("0.05") - d)).alias("np"), F.sum(e * (lit("0.04") - x)).alias("ocf"), F.sum(n).alias("qty"), F.sum(e).alias("ext"))
+    return materialize(rows.groupBy(C("l_suppkey").alias("issuer"), "fy", "h1").agg(F.sum(e * (lit(1) - d)).alias("rev"), F.sum(e * (lit("0.05") - d)).alias("np"), F.sum(e * (lit("0.04") - x)).alias("ocf"), F.sum(n).alias("qty"), F.sum(e).alias("ext")))
 
 
 def _flows(sums: DataFrame, by: list[str]) -> DataFrame:

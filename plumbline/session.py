@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,3 +21,21 @@ def session(name: str = "plumbline", **more: str) -> SparkSession:
     for k, v in (SETTINGS | more).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is named, a local session gets a temporary one; on a cluster,
+    whose executors couldn't read that, it raises."""
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="plumbline-ckpt-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """df, computed once and kept by a reliable checkpoint."""
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

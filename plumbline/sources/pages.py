@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import GROUP_ALIASES, filing_kind, normalize_group
 from ..operators.liquidity import price
+from ..operators.overlays import join_by_name
+from ..operators.ranking import top
 
 C = F.col
 #: Headings of the primary statements.
@@ -53,6 +55,16 @@ def dividends(spark: SparkSession, path: str) -> DataFrame:
     return raw.where("announcementCategory = 'CASH DIVIDEND'")
 
 
+def latest_dividends(feed: DataFrame, issuers: DataFrame, details: DataFrame) -> DataFrame:
+    """feed(company, announcementId, id), issuers(ticker, name, ord), details(announcementId, ..) -> the announcements of known issuers with their
+    details, and `recency`, 1 for an issuer's latest. Of a detail that has landed more than once, the last (by `ord`, if it has one) counts."""
+    own = join_by_name(feed.where("announcementId is not null"), issuers).select("ticker", C("announcementId").alias("_announcement"), C("id").alias("feed_id"))
+    if "ord" in details.columns:
+        details = top(details, ["announcementId"], [C("ord").desc()])
+    out = own.join(details, own["_announcement"] == details["announcementId"]).drop("_announcement")
+    return out.withColumn("recency", F.row_number().over(W.partitionBy("ticker").orderBy(C("announcementId").desc(), C("feed_id").desc())))
+
+
 def pdf_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256, content) of binary files that are PDFs."""
     return spark.read.format("binaryFile").load(path).where(F.substring("content", 1, 4) == F.lit(b"%PDF")).select("path", F.sha2("content", 256).alias("sha256"), "content")
@@ -81,6 +93,11 @@ def ocr_candidates(pages: DataFrame, doc: str, page: str) -> DataFrame:
     return p.withColumn("ocr", need & ((C("_k") >= 0.75 * C("_n")) | ((C("_k") >= 3) & (C("_k") >= 0.25 * C("_n"))) | (C("_near") == 1))).drop("_k", "_n", "_near")
 
 
+def read_pages(pages: DataFrame) -> DataFrame:
+    """The text of pages alone."""
+    return pages.select("doc_id", "page_no", "text")
+
+
 def pages_with(pages: DataFrame, *terms: str) -> DataFrame:
     out = pages
     for t in terms:

@@ -50,3 +50,21 @@ def write_workbook(tables: dict[str, DataFrame], path: str, most_rows: int = 1_0
                 if len(rows) > most_rows:
                     raise ValueError(f"{name} is larger than a sheet")
                 rows.to_excel(writer, sheet_name=name, index=False)
+
+
+def write_summary(lines: DataFrame, folder: str) -> None:
+    """summary_lines as text, in order over the part files."""
+    lines.orderBy("section", "key").select("line").write.mode("overwrite").text(folder)
+
+
+#: How a column's cells are shown, by the words in its name.
+FORMATS = (("percent", ("yield", "roe", "roa", "growth", "cagr", "payout")), ("two digits", ("eps", "dps", "bvps", "pe", "pb", "debt_to_equity", "price")), ("date", ("period_end", "_date")))
+
+
+def with_formats(df: DataFrame) -> DataFrame:
+    """df with a `format` in the metadata of each column, and `frozen` on the first: what a spreadsheet writer needs to show it."""
+    out = df
+    for i, f in enumerate(df.schema):
+        kind = next((k for k, words in FORMATS if any(w in f.name.split("_") or w in f.name and "_" in w for w in words)), "integer" if f.dataType.simpleString().startswith(("decimal", "double", "bigint", "int")) else "general")
+        out = out.withMetadata(f.name, {"format": kind, "filter": True} | ({"frozen": True} if not i else {}))
+    return out

@@ -7,27 +7,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_folder
+
 
 def daily_counts(events: DataFrame, late: str = "2 days") -> DataFrame:
-    """Trades per ticker and day of a stream (ts, user_id); state is kept as long as `late` allows for."""
+    """Trades per ticker and day of a stream (ts, user_id). In update or append mode, the state of a day goes once the watermark has passed its end;
+    events that are later than `late` allows for are dropped then."""
     e = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
     return e.groupBy(F.window("ts", "1 day").alias("w"), F.col("user_id")).agg(F.count("*").alias("trade_count")).select(F.col("user_id").alias("ticker"), F.to_date("w.start").alias("trading_date"), "trade_count")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the one that the cluster names for checkpoints; a temporary one only where none is named."""
-    import tempfile
-
-    sc = spark.sparkContext
-    base = sc._jsc.sc().getCheckpointDir()
-    root = base.get() if base.isDefined() else spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="plumbline-stream-")
-    return f"{root}/stream-{uuid.uuid4().hex}"
+def merged_counts(updates: DataFrame) -> DataFrame:
+    """updates(batch, ticker, trading_date, trade_count) -> the last count of each ticker and day."""
+    return updates.groupBy("ticker", "trading_date").agg(F.max_by("trade_count", "batch").alias("trade_count"))
 
 
 def daily_counts_available_now(spark: SparkSession, path: str) -> DataFrame:
-    """Reads what is there as a stream and returns the complete counts: each micro-batch replaces the results, written as a
-    table of its own, so a repeated batch changes nothing."""
-    folder = shared_folder(spark)
+    """Reads what is there as a stream and returns the counts. Each micro-batch writes the days that it changed to a folder of its own, so a
+    repeated batch changes nothing; of what several batches say of a day the last counts."""
+    folder = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
     # a file of the source is matched by its name in its folder, so that a table may be one file or a folder of files
     parent, _, name = path.rpartition("/")
     schema = spark.read.parquet(path).schema
@@ -35,20 +33,19 @@ def daily_counts_available_now(spark: SparkSession, path: str) -> DataFrame:
     single = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop).isFile()
     reader = spark.readStream.schema(schema)
     source = reader.option("pathGlobFilter", name).parquet(parent) if single else reader.parquet(path)
-    last = []
+    counts = daily_counts(source)
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/out/{number}")
-        last.append(number)
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
 
-    q = daily_counts(source).writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(keep).start()
-    q.awaitTermination()
-    return spark.read.parquet(f"{folder}/out/{max(last)}")
+    spark.createDataFrame([], counts.schema).write.parquet(f"{folder}/out/batch=-1")  # a source without rows has no batch
+    counts.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    return merged_counts(spark.read.parquet(f"{folder}/out"))
 
 
 def upsert_stream(source: DataFrame, path: str, checkpoint: str):
     """Snapshots into a table with one folder per trading date: in a batch the last of a date and ticker wins over what the table has.
-    Only the dates that a batch brings are read and rewritten, into a new version next to the old one."""
+    Only the folders of the dates that a batch brings are read and replaced; others stay as they are."""
     from ..operators.liquidity import upsert, write_snapshot
 
     def merge(batch: DataFrame, _: int) -> None:

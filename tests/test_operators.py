@@ -92,7 +92,7 @@ def _doc(spark, **changed):
     return spark.range(1).select(*[F.lit(v).cast("double").alias(k) for k, v in (base | confs).items()])
 
 
-@pytest.mark.parametrize("changed,rule", [({"total_liabilities": 20.0, "total_equity": 30.0}, "accounting_equation"), ({"revenue_conf": 0.62}, "low_confidence"), ({"net_profit": 9000.0, "eps": 90.0}, "profit_revenue_scale"), ({"eps": -1.0}, "eps_profit_sign"), ({"bvps": 16.0}, "bvps_identity"), ({"dps": 36.3}, "dps_range"), ({"eps": 2025.0}, "eps_identity")])
+@pytest.mark.parametrize("changed,rule", [({"total_liabilities": 20.0, "total_equity": 30.0}, "accounting_equation"), ({"revenue_conf": 0.62}, "low_confidence"), ({"net_profit": 9000.0, "eps": 90.0}, "profit_revenue_scale"), ({"eps": -1.0}, "eps_profit_sign"), ({"bvps": 16.0}, "bvps_identity"), ({"dps": 36.3}, "dps_range"), ({"eps": 2025.0, "market_shares": 100.0}, "eps_identity"), ({"ordinary_equity_conf": 0.5}, "low_confidence"), ({"ordinary_shares_outstanding": 60471501.0, "market_shares": 265e6, "eps": 0.0000003}, "share_count_identity")])
 def test_validation_rules(spark, changed, rule):
     r = V.validate(_doc(spark, **changed)).first()
     assert rule in r.rules
@@ -107,6 +107,36 @@ def test_validation_rescales_shares(spark):
     assert list(V.validate(_doc(spark)).first().rules) == []
 
 
+def test_validation_references(spark):
+    check = lambda **changed: V.validate(_doc(spark, **changed)).first()
+    # a count near any reference stands, even where another one is far off
+    r = check(market_shares=100.0, eps=0.75)
+    assert list(r.rules) == [] and r.ordinary_shares_outstanding_conf == 0.9
+    assert "share_count_identity" in check(market_shares=200.0, eps=0.5).rules
+    # EPS is judged by the market's count alone
+    assert list(check(eps=50.0, ordinary_shares_outstanding=2.0, bvps=20.0).rules) == []
+    # what is printed on the statement is noted and stands
+    printed = V.validate(_doc(spark, bvps=75.0).withColumn("bvps_printed", F.lit(True))).first()
+    assert list(printed.rules) == ["bvps_identity"] and printed.bvps_conf == 0.9 and check(bvps=16.0).bvps_conf == 0.6
+    # the market's count stands in for one that isn't reliable; no book value is expected of negative equity
+    assert list(check(ordinary_shares_outstanding_conf=0.7, ordinary_shares_outstanding=7.0, market_shares=100.0, eps=None).rules) == ["low_confidence", "share_count_identity"]
+    assert "bvps_identity" not in check(ordinary_equity=-40.0).rules
+    loose = V.validate(_doc(spark, ordinary_shares_outstanding=7.0, bvps=16.0).withColumn("reconciled", F.lit(False))).first()
+    assert list(loose.rules) == []
+
+
+def test_validation_of_long_facts(spark):
+    s = "doc_id string, metric string, value double, confidence double, ord long, extraction_method string"
+    rows = [("d", "total_assets", 100.0, 0.9, 1, "x"), ("d", "total_assets", 999.0, 0.9, 2, "x"), ("d", "total_liabilities", 20.0, 0.9, 3, "x"), ("d", "total_equity", 30.0, 0.9, 4, "x"), ("d", "cash", 1.0, 0.62, 5, "x"), ("e", "eps", 4.45, 0.9, 1, "x"), ("e", "net_profit", 1.18e9, 0.9, 2, "x"), ("e", "ordinary_shares_outstanding", 265252.0, 0.9, 3, "x")]
+    context = spark.createDataFrame([("e", None, True)], "doc_id string, market_shares double, reconciled boolean")
+    facts, issues = V.validate_facts(spark.createDataFrame(rows, s), context)
+    got = {(r.doc_id, r.metric, r.ord): (r.value, round(r.confidence, 2)) for r in facts.collect()}
+    assert len(got) == 8 and got["d", "total_assets", 1] == (100.0, 0.75) and got["d", "total_assets", 2] == (999.0, 0.9) and got["e", "ordinary_shares_outstanding", 3] == (265252000.0, 0.9)
+    assert sorted((r.metric, r.rule) for r in issues.collect()) == [("cash", "low_confidence"), ("total_assets", "accounting_equation"), ("total_equity", "accounting_equation"), ("total_liabilities", "accounting_equation")]
+    filled = V.with_identities(spark.createDataFrame([("d", "total_assets", 100.0, 0.9, 1, "x"), ("d", "total_equity", 40.0, 0.8, 2, "x")], s))
+    assert {(r.metric, r.value, r.confidence, r.extraction_method) for r in filled.collect()} >= {("total_liabilities", 60.0, 0.8, "derived"), ("ordinary_equity", 40.0, 0.8, "derived")}
+
+
 def test_liquidity(spark):
     s = "trading_date date, ticker string, share_volume double, ord long"
     a = spark.createDataFrame([(D(2026, 10, 1), "A", 100.0, 1), (D(2026, 10, 2), "A", 300.0, 2), (D(2026, 10, 3), "A", 400.0, 3)], s)
