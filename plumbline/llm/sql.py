@@ -8,7 +8,7 @@ _IN = lambda words: ", ".join(f"'{w}'" for w in dict.fromkeys(words))  # noqa: E
 
 
 def op2_sql() -> str:
-    known = ", ".join(f"('{v}', '{k}')" for k, v in licenses.SENTENCES.items())
+    known = ", ".join(f"('{v}', '{k}')" for v, k in licenses.known_sentences())
     names = ", ".join(f"('{rule.replace('*', '')}', '{name}')" for rule, name in licenses.RULES)
     part = "trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))"
     return f"""
