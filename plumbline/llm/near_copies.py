@@ -1,8 +1,10 @@
-"""Near copies by the similarity of word shingles: the corpus pipeline's stage.
+"""Near copies by the similarity of word shingles: SimHash near-dedup (operator 8) with a similarity, the corpus pipeline's stage.
 
 Two documents are near copies if the sets of their 5-word shingles have a Jaccard similarity of 0.8 at least. Documents of
-equal sets are one node from then on. Candidates are nodes that agree in one of 20 bands of 5 min-hashes, which a pair of
-similarity s does with probability 1 - (1 - s^5)^20: 0.9996 at 0.8. Candidates are joined to components first, so that each
+equal sets are one node from then on. Candidates are, first, nodes whose SimHash fingerprints of 5-word shingles differ in 4 bits at
+most, by simhash's exact comparison of tiles. Two sets of similarity 0.8 differ in about 10 of 64 bits, a distance that
+unrelated texts of a large corpus have too, so nodes that agree in one of 20 bands of 5 min-hashes are candidates as well, which
+a pair of similarity s does with probability 1 - (1 - s^5)^20: 0.9996 at 0.8. Candidates are joined to components first, so that each
 node's set travels once and not once a band, and all pairs of such a component are then compared by their exact sets:
 
 1. within tiles of bounded size;
@@ -25,10 +27,11 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text, keep_one_of_each, materialize
 from .graph import connected_components
+from .simhash import fingerprint_links, fingerprint_of
 from .substring import _mixed, shingle_hashes
 from .tiles import run_groups, tile_pairs
 
-SHINGLE, SIMILARITY, BANDS, ROWS, TILE_ROWS = 5, 0.8, 20, 5, 256
+SHINGLE, SIMILARITY, RADIUS, BANDS, ROWS, TILE_ROWS = 5, 0.8, 4, 20, 5, 256
 _STEPS = np.random.default_rng(20).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -62,7 +65,7 @@ def band_keys(h: np.ndarray) -> np.ndarray:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, node, bands): node names the document's set of shingles."""
+    """(doc_id, text_key, node, fp, bands): node names the document's set of shingles, fp is its fingerprint."""
 
     def each(batches):
         for batch in batches:
@@ -70,10 +73,11 @@ def _rows(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, 256)
                 sets = [shingle_set(t) for t in part.column(1).to_pylist()]
                 bands = pa.array([band_keys(h) for h in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([_set_id(h) for h in sets], pa.int64()), bands], ["doc_id", "text_key", "node", "bands"])
+                fps = np.array([fingerprint_of(h) for h in sets], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([_set_id(h) for h in sets], pa.int64()), pa.array(fps), bands], ["doc_id", "text_key", "node", "fp", "bands"])
 
     texts = id_and_text(docs).where("doc_id is not null").withColumn("text_key", F.xxhash64("text"))
-    return texts.mapInArrow(each, "doc_id long, text_key long, node long, bands array<long>")
+    return texts.mapInArrow(each, "doc_id long, text_key long, node long, fp long, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -146,6 +150,17 @@ def _links(rows: DataFrame, similarity: float) -> DataFrame:
     return run_groups(rows, ["node", "shingles"], work, "a long, b long")
 
 
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """nodes(node, fp) -> edges (a, b) between nodes of equal fingerprints and of those within the radius."""
+    heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("head")))
+    own = heads.select(F.col("fp").alias("_fp"), "head")
+    equal = nodes.join(own, nodes.fp == own["_fp"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    links = fingerprint_links(heads.select("fp"), RADIUS)
+    one, two = heads.select(F.col("fp").alias("_a"), F.col("head").alias("_head_a")), heads.select(F.col("fp").alias("_b"), F.col("head").alias("_head_b"))
+    near = links.join(one, links.a == one["_a"]).join(two, links.b == two["_b"]).select(F.col("_head_a").alias("a"), F.col("_head_b").alias("b"))
+    return equal.unionByName(near)
+
+
 def _grouped(sets: DataFrame, edges: DataFrame) -> DataFrame:
     """sets with `part`, the smallest node of the group that the edges make."""
     parts = connected_components(edges).select(F.col("node").alias("_node"), F.col("root").alias("_part"))
@@ -156,10 +171,11 @@ def near_copy_components(docs: DataFrame, similarity: float = SIMILARITY, tile_r
     """(doc_id, text_key, component_id) of the rows that have an id: the smallest doc_id that a chain of near copies joins each with.
     text_key is a hash of the text, which tells rows of one id apart."""
     rows = materialize(_rows(docs))
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     heads = keyed.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("_key"), "head")
     candidates = keyed.join(heads, keyed.key == heads["_key"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    candidates = candidates.unionByName(_by_fingerprint(nodes.select("node", "fp")))
     found = connected_components(candidates)
     wanted = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
     firsts = nodes.select(F.col("node").alias("_node"), "first_id")

@@ -47,6 +47,12 @@ def fingerprint(text: str, shingle: int = 4) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * counts > total).tolist())
 
 
+def fingerprint_of(h: np.ndarray) -> int:
+    """The fingerprint of hashes: a bit is set if it is in over half of them."""
+    counts = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return sum(1 << i for i in np.flatnonzero(2 * counts > len(h)).tolist())
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key, fp): one row per document, fp the fingerprint as a signed long, text_key a hash of the text."""
 
