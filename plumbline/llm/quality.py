@@ -14,13 +14,19 @@ from .common import id_and_text
 #: Separators of words, as the contract has them.
 SEPARATORS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-#: Frequent function words of English, German, French, Spanish, Italian, Portuguese and Dutch.
+#: Frequent function words of English; German; French; Spanish; Italian, Portuguese and Dutch; Polish and Czech; Russian;
+#: Turkish; Swedish and Danish; Romanian; Indonesian. A text in another language has to be given its words, or thresholds without that row.
 STOP_WORDS = (
     "the be to of and that have with in for on is are was this it as by at from or an not he she they we you "
     "der die das und ist ein eine zu den von mit im auf für nicht sich des dem als auch es "
     "le la les de des et en un une du que qui pour par sur au aux est pas avec dans il elle "
     "el los las y o del se con su al lo como más no una para por "
-    "il di che e per non sono della gli nel os as da em uma não het een van op te"
+    "il di che e per non sono della gli nel os as da em uma não het een van op te "
+    "na się nie do że jest jak od po dla není že který tak ale "
+    "и в не на что он как это по из для от "
+    "ve bir bu için ile da daha olarak gibi çok "
+    "och att det som på är med av ikke til "
+    "și în nu este care mai din dan yang di untuk dengan ini itu"
 ).split()
 #: (measure, least, most, words from which the row holds); None leaves an end open. A document is kept if it passes the base rules
 #: and every row; a short text may well have no function word.
