@@ -330,3 +330,33 @@ def test_more_licenses(spark):
     }
     got = {r.doc_id: r.licenses for r in licenses.license_report(docs_of(spark, list(texts))).collect()}
     assert got == dict(enumerate(texts.values()))
+
+
+def test_pooling_in_chunks_equals_a_plain_forward_pass(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK", 7)
+    rng, model = np.random.default_rng(17), toxicity.Cnn()
+    for n in (0, 1, 2, 3, 6, 7, 8, 50, 200):
+        x = rng.normal(size=(n, toxicity.DIM)).astype(np.float32)
+        want = []
+        for w in toxicity.WIDTHS:
+            for f in range(toxicity.FILTERS):
+                values = [float((x[i : i + w] * model.filters[w][:, :, f]).sum() + model.bias[w][f]) for i in range(n - w + 1)]
+                want.append(max([0.0, *values]))
+        assert np.allclose(model.pooled(x), want, atol=1e-4)
+        top, at = model.pooled(x, True)
+        assert np.allclose(top, want, atol=1e-4) and all(len(a) == toxicity.FILTERS for a in at)
+
+
+def test_the_sample_for_training_is_bounded(spark):
+    docs = docs_of(spark, ["good words here"] * 8 + ["bad bad words " * 2000] * 8)
+    labels = spark.createDataFrame([(i, 1, int(i >= 8)) for i in range(16)], "doc_id long, quality int, toxic int")
+    assert toxicity.train(docs, labels, sample_chars=1000).constant == 0.0 and toxicity.train(docs, labels).constant is None
+
+
+def test_clean_texts_of_further_languages_are_kept(spark):
+    texts = [
+        "Wczoraj wieczorem poszliśmy do parku, który jest niedaleko od naszego domu, i spotkaliśmy tam starych znajomych. Nie było zimno, a na niebie świeciły gwiazdy. Dzieci bawiły się na trawie, jak zawsze po szkole, i nikt nie myślał o tym, że jutro znowu trzeba wstać do pracy, bo jest poniedziałek.",
+        "Вчера вечером мы пошли в парк, который находится недалеко от нашего дома, и встретили там старых друзей. Было не холодно, и на небе светили звёзды. Дети играли на траве, как всегда после школы, и никто не думал о том, что завтра снова вставать на работу, потому что это понедельник, и он для всех труден.",
+        "Dün akşam evimize yakın olan parka gittik ve orada eski arkadaşlarla buluştuk. Hava çok soğuk değildi ve gökyüzünde yıldızlar parlıyordu. Çocuklar her zaman olduğu gibi okuldan sonra çimenlerde oynadı ve kimse yarın işe gitmek için erken kalkmak gerektiğini düşünmedi, bu da güzel bir şeydi, çünkü daha uzun bir gün bizi bekliyordu.",
+    ]
+    assert [r.kept for r in quality.quality_report(docs_of(spark, texts)).orderBy("doc_id").collect()] == [True] * 3
