@@ -1,11 +1,13 @@
 """Near-duplicate embeddings (operator 5): spherical k-means cells, blocked cosine products within cells.
 
 Exact for any centroids: a vector u of cell c satisfies u.c >= u.c', so another vector v of cell c' can only be within
-the angle t of u if its angle to the plane between c and c' is at most t, that is v.c' - v.c <= sin(t) |c' - c|. Every v
-is therefore also a guest of each cell for which that holds, and a cell compares its own vectors with its own and its
-guests. Centroids are fitted on a bounded sample and decide only how much is compared.
+the angle t of u if its angle to the plane between c and c' is at most t, that is v.c' - v.c <= sin(t) |c' - c|, and if its
+angle to c' is at most t more than that of the outermost vector of c'. Every v is therefore also a guest of each cell for which
+both hold, and a cell compares its own vectors with its own and its guests. Centroids are fitted on a bounded sample and decide
+only how much is compared.
 
-Identical vectors of one label are one node with a multiplicity. Cells beyond `tile_rows` are compared as pairs of tiles.
+Identical vectors of one label are one node with a multiplicity. They meet by 128 bits of hash, so that vectors themselves are
+shuffled once, to make the nodes, and after that only to be compared. Cells beyond `tile_rows` are compared as pairs of tiles.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components, and all vectors of a null label,
 link with nothing and are their own component; vectors of different length don't link; repeated rows are vectors of their
@@ -64,28 +66,65 @@ def fit_cells(nodes: DataFrame, sample_rows: int = SAMPLE_ROWS, cell_rows: int =
     return cells
 
 
+def _by_kind(batch: pa.RecordBatch):
+    """(label, dimension, places, unit vectors) of a batch of (node, label, mult, v)."""
+    labels = batch.column(1).to_numpy()
+    flat, lengths = batch.column(3).flatten().to_numpy(), np.diff(batch.column(3).offsets.to_numpy())
+    starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
+    for label, size in sorted(set(zip(labels.tolist(), lengths.tolist(), strict=True))):
+        at = np.flatnonzero((labels == label) & (lengths == size))
+        x = flat[starts[at][:, None] + np.arange(size)].astype(np.float64)
+        yield label, size, at, x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def _angle(cosine: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosine, -1, 1))
+
+
+def _radii(nodes: DataFrame, cells: dict) -> dict:
+    """(label, dimension) -> the angle of each cell's outermost vector: one number for each centroid."""
+    if not cells:
+        return {}
+    shared = nodes.sparkSession.sparkContext.broadcast(cells)
+
+    def each(batches):
+        for batch in batches:
+            for label, size, _, x in _by_kind(batch):
+                if (c := shared.value.get((label, size))) is not None:
+                    score = x @ c.T
+                    best = score.argmax(axis=1)
+                    far = np.zeros(len(c))
+                    np.maximum.at(far, best, _angle(score[np.arange(len(x)), best]))
+                    hit = np.unique(best)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), label, np.int64)), pa.array(np.full(len(hit), size, np.int64)), pa.array(hit), pa.array(far[hit])], ["label", "size", "cell", "far"])
+
+    rows = nodes.select("node", "label", "mult", "v").mapInArrow(each, "label long, size long, cell long, far double").groupBy("label", "size", "cell").agg(F.max("far").alias("far")).collect()
+    out = {key: np.zeros(len(c)) for key, c in cells.items()}
+    for r in rows:
+        out[r.label, r.size][r.cell] = r.far
+    return out
+
+
 def _assign(nodes: DataFrame, cells: dict, cosine: float) -> DataFrame:
     """(bucket, node, mult, home, v): each node once at home and once as a guest wherever a partner may be at home."""
-    shared = nodes.sparkSession.sparkContext.broadcast(cells)  # at most sample_rows / 10 centroids
-    reach = math.sqrt(1 - cosine * cosine) + SLACK
+    shared = nodes.sparkSession.sparkContext.broadcast((cells, _radii(nodes, cells)))  # at most sample_rows / 10 centroids
+    reach, within = math.sqrt(1 - cosine * cosine) + SLACK, math.acos(cosine) + SLACK
 
     def each(batches):
+        cells, radii = shared.value
         for batch in batches:
-            labels = batch.column(1).to_numpy()
-            flat, lengths = batch.column(3).flatten().to_numpy(), np.diff(batch.column(3).offsets.to_numpy())
-            starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-            for label, size in sorted(set(zip(labels.tolist(), lengths.tolist(), strict=True))):
-                at = np.flatnonzero((labels == label) & (lengths == size))
-                x = flat[starts[at][:, None] + np.arange(size)].astype(np.float64)
-                x /= np.linalg.norm(x, axis=1)[:, None]
-                c = shared.value.get((label, size))
+            for label, size, at, x in _by_kind(batch):
+                c = cells.get((label, size))
                 if c is None:
                     row, cell, home = np.arange(len(at)), np.zeros(len(at), np.int64), np.ones(len(at), bool)
                 else:
                     score = x @ c.T
                     best = score.argmax(axis=1)
                     apart = np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))[best]
-                    row, cell = np.nonzero(score[np.arange(len(at)), best][:, None] - score <= reach * apart + SLACK)
+                    near = score[np.arange(len(at)), best][:, None] - score <= reach * apart + SLACK
+                    near &= _angle(score) <= radii[label, size][None, :] + within + 1e-7  # arccos loses digits near 1
+                    near[np.arange(len(at)), best] = True
+                    row, cell = np.nonzero(near)
                     home = cell == best[row]
                 take = pa.array(at[row])
                 yield pa.RecordBatch.from_arrays(
@@ -93,10 +132,11 @@ def _assign(nodes: DataFrame, cells: dict, cosine: float) -> DataFrame:
                     ["bucket", "node", "mult", "home", "v"],
                 )
 
-    return nodes.select("node", "label", "mult", "v").mapInArrow(each, "bucket string, node long, mult long, home boolean, v array<double>")
+    kind = dict(nodes.dtypes)["v"]
+    return nodes.select("node", "label", "mult", "v").mapInArrow(each, f"bucket string, node long, mult long, home boolean, v {kind}")
 
 
-def embedding_links(nodes: DataFrame, cosine: float = 0.98, tile_rows: int = 2048, cells: dict | None = None) -> DataFrame:
+def embedding_links(nodes: DataFrame, cosine: float = 0.98, tile_rows: int = 4096, cells: dict | None = None) -> DataFrame:
     """nodes(node, label, mult, v) -> rows (kind, x, y): kind 0 adds y links to node x, kind 1 is an edge of a spanning star."""
     placed = _assign(nodes, fit_cells(nodes) if cells is None else cells, cosine)
     tiled = tile_pairs(placed.withColumn("key", F.xxhash64("bucket")), "key", "node", tile_rows)
@@ -106,7 +146,7 @@ def embedding_links(nodes: DataFrame, cosine: float = 0.98, tile_rows: int = 204
         mult, node = table.column("mult").to_numpy(), table.column("node").to_numpy()
         if not home.any():
             return None
-        x = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        x = table.column("v").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(len(node), -1)
         norm = np.linalg.norm(x, axis=1)
         two, n = bool(side.any()), len(node)
         a, b = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if two else (np.arange(n), np.arange(n))
@@ -133,19 +173,22 @@ def embedding_links(nodes: DataFrame, cosine: float = 0.98, tile_rows: int = 204
 
 def embedding_components(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", **fit) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per vector; see the module for the defined cases."""
-    v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
+    kind = "array<float>" if dict(vectors.dtypes)[vector_col] == "array<float>" else "array<double>"
+    v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast(kind).alias("v"))
     odd = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     fine = F.col("label").isNotNull() & F.coalesce(~odd & F.exists("v", lambda c: c != 0), F.lit(False))
-    v = v.withColumn("v", F.when(fine, F.transform("v", lambda c: c + 0.0)))  # -0.0 as 0.0: copies then are equal as keys too
+    v = v.withColumn("v", F.when(fine, F.transform("v", lambda c: c + 0.0).cast(kind)))  # -0.0 as 0.0: copies then are equal as keys too
     alone = v.where(F.col("v").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    v = materialize(v.where(F.col("v").isNotNull()))
+    keyed = v.where(F.col("v").isNotNull()).select("*", F.xxhash64("label", "v").alias("h1"), F.xxhash64(F.lit(1), "v", "label").alias("h2"))
     # a node is a distinct vector of a label, named by a row number that the checkpoint keeps fixed
-    nodes = materialize(v.groupBy("label", "v").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("mult")).withColumn("node", F.monotonically_increasing_id()))
-    found = materialize(embedding_links(nodes, cosine, **fit))
+    nodes = keyed.groupBy("h1", "h2").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.min("vec_id").alias("first_id"), F.count("*").alias("mult"))
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()))
+    found = materialize(embedding_links(nodes.select("node", "label", "mult", "v"), cosine, **fit))
     links = found.where("kind = 0").groupBy("x").agg(F.sum("y").alias("links"))
-    roots = connected_components(found.where("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b")))
-    named = nodes.select("node", "first_id").join(roots.withColumnRenamed("node", "rn"), F.col("node") == F.col("rn"), "left").groupBy(F.coalesce("root", "node").alias("top")).agg(F.min("first_id").alias("component_id"))
-    out = nodes.join(roots.withColumnRenamed("node", "rn"), F.col("node") == F.col("rn"), "left").withColumn("top", F.coalesce("root", "node")).drop("rn", "root").join(named, "top").join(links, F.col("node") == F.col("x"), "left")
-    out = out.select(F.col("label").alias("l2"), F.col("v").alias("v2"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")
-    linked = v.join(out, (v.label == out.l2) & (v.v == out.v2)).select("vec_id", "n_links", "component_id")
+    roots = connected_components(found.where("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("node", "rn")
+    placed = nodes.select("node", "first_id", "mult", "h1", "h2").join(roots, F.col("node") == F.col("rn"), "left").withColumn("top", F.coalesce("root", "node")).drop("rn", "root")
+    named = placed.groupBy(F.col("top").alias("_top")).agg(F.min("first_id").alias("component_id"))
+    out = placed.join(named, F.col("top") == F.col("_top")).join(links, F.col("node") == F.col("x"), "left")
+    out = out.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")
+    linked = keyed.select("vec_id", "h1", "h2").join(out, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).select("vec_id", "n_links", "component_id")
     return linked.unionByName(alone).select("*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
