@@ -130,3 +130,18 @@ def upper_median(values: Column) -> Column:
     """An aggregate: the middle value, the upper one of two."""
     ordered = F.array_sort(F.collect_list(values))
     return F.element_at(ordered, (F.floor(F.size(ordered) / 2) + 1).cast("int"))
+
+
+def normalize_text(text: Column) -> Column:
+    """Compatibility forms folded (NFKC) and plain quotes; there is no built-in for the former, so it goes through Arrow."""
+    import unicodedata
+
+    import pandas as pd
+
+    quotes = {0x2018: "'", 0x2019: "'", 0x60: "'"}
+
+    def folded(s):
+        return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).translate(quotes))
+
+    folded.__annotations__ = {"s": pd.Series, "return": pd.Series}  # the kind of UDF is told by these
+    return F.pandas_udf(folded, "string")(text)

@@ -147,6 +147,14 @@ def cross_period_scale(annual: DataFrame, interim: DataFrame, factor: float = 20
     return j.where((q > factor) | (q < 1 / factor)).select("ticker", "metric", "value", "interim_value")
 
 
+def market_fact_record(implied: DataFrame, latest: DataFrame) -> DataFrame:
+    """implied(ticker, value, confidence) and latest(ticker, doc_id) -> facts of the latest annual report, in the shape of extracted ones."""
+    rows = implied.join(latest.select(C("ticker").alias("_t"), "doc_id"), C("ticker") == C("_t")).drop("_t")
+    fixed = {"metric": "ordinary_shares_outstanding", "unit": "shares", "original_unit": "shares", "statement_scope": "market", "extraction_method": "cse_market_data", "validation_status": "passed", "validation_notes": "market value / price of the listed class", "source_text": "market value / price"}
+    rows = rows.withColumns({k: F.lit(v) for k, v in fixed.items()} | {"multiplier": F.lit(1.0), "original_value": C("value"), "previous_value": F.lit(None).cast("double"), "page": F.lit(None).cast("int"), "ord": F.lit(1 << 41).cast("long")})
+    return rows.withColumn("fact_id", fact_id(C("doc_id"), F.lit("market"), C("metric")))
+
+
 def market_implied_shares(issuers: DataFrame, reported: DataFrame, classes: DataFrame) -> DataFrame:
     """(ticker, value, confidence) from market value and price, where no usable count is reported and the issuer has one share class."""
     from ..functions.ratios import implied_shares

@@ -743,14 +743,15 @@ def pages_with_terms(spark, sf):
     return pages_with(A.table(spark, sf, "pages").select("page_id", C("html").alias("text")), "<li>", "HREF").select("page_id")
 
 
-@query("""WITH d AS (SELECT source, doc_id, length(regexp_replace(text, '[ \t\n\v\f\r]', '', 'g')) < 700 AS thin, doc_id % 3 = 0 AS image, regexp_matches(text, '(?i)license') AS st FROM documents),
-w AS (SELECT *, count(*) FILTER (thin AND image) OVER (PARTITION BY source) AS k, count(*) OVER (PARTITION BY source) AS n, max(CASE WHEN st THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near FROM d)
+@query("""WITH d AS (SELECT doc_id // 40 AS report, doc_id, length(regexp_replace(text, '[ \t\n\v\f\r]', '', 'g')) < 700 AS thin, doc_id % 3 = 0 AS image, regexp_matches(text, '(?i)license') AS st FROM documents),
+w AS (SELECT *, count(*) FILTER (thin AND image) OVER (PARTITION BY report) AS k, count(*) OVER (PARTITION BY report) AS n, max(CASE WHEN st THEN 1 ELSE 0 END) OVER (PARTITION BY report ORDER BY doc_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near FROM d)
 SELECT doc_id, thin AND image AND (k >= 0.75 * n OR (k >= 3 AND k >= 0.25 * n) OR near = 1) AS ocr FROM w""")
 def ocr_route_page_window(spark, sf):
+    """Forty texts in a row are the pages of a report."""
     from ..sources.pages import ocr_candidates
 
-    d = A.table(spark, sf, "documents").select("source", "doc_id", (F.length(F.regexp_replace("text", r"\s", "")) < 700).alias("thin"), (C("doc_id") % 3 == 0).alias("image"), C("text").rlike("(?i)license").alias("statement"))
-    return ocr_candidates(d, "source", "doc_id").select("doc_id", "ocr")
+    d = A.table(spark, sf, "documents").select(F.floor(C("doc_id") / 40).alias("report"), "doc_id", (F.length(F.regexp_replace("text", r"\s", "")) < 700).alias("thin"), (C("doc_id") % 3 == 0).alias("image"), C("text").rlike("(?i)license").alias("statement"))
+    return ocr_candidates(d, "report", "doc_id").select("doc_id", "ocr")
 
 
 @query("SELECT lang, string_agg(DISTINCT source, '; ' ORDER BY source) AS methods FROM documents GROUP BY lang")

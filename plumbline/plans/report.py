@@ -27,9 +27,9 @@ def _with_market_shares(facts: DataFrame, companies: DataFrame, latest: DataFram
     """facts and, for issuers of one share class without a usable count in their latest annual report, the count that the market implies."""
     reported = facts.where("metric = 'ordinary_shares_outstanding'").join(latest.select(C("doc_id").alias("_doc")), C("doc_id") == C("_doc"), "left_semi")
     implied = V.market_implied_shares(companies.select("ticker", "market_cap", "price"), reported, classes)
-    rows = implied.join(latest.select(C("ticker").alias("_t"), "doc_id"), C("ticker") == C("_t")).drop("_t")
-    rows = rows.withColumns({"metric": F.lit("ordinary_shares_outstanding"), "ord": F.lit(1 << 41).cast("long"), "extraction_method": F.lit("cse_market_data"), "fact_id": X.fact_id(C("doc_id"), F.lit("market"), F.lit("ordinary_shares_outstanding"))})
-    return facts.unionByName(rows.select(*[c for c in rows.columns if c in facts.columns]), allowMissingColumns=True)
+    rows = V.market_fact_record(implied, latest)
+    kinds = dict(facts.dtypes)
+    return facts.unionByName(rows.select(*[C(c).cast(kinds[c]).alias(c) for c in rows.columns if c in kinds]), allowMissingColumns=True)
 
 
 def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapshots: DataFrame, corrections: DataFrame | None = None, settings: dict | None = None, as_of: str | None = None, warnings: DataFrame | None = None) -> dict[str, DataFrame]:
