@@ -4,7 +4,8 @@ Exact for any centroids: a vector u of cell c satisfies u.c >= u.c', so another
 the angle t of u if its angle to the plane between c and c' is at most t, that is v.c' - v.c <= sin(t) |c' - c|, and if its
 angle to c' is at most t more than that of the outermost vector of c'. Every v is therefore also a guest of each cell for which
 both hold, and a cell compares its own vectors with its own and its guests. Centroids are fitted on a bounded sample and decide
-only how much is compared.
+only how much is compared. Cells that come out too large are cut in the same way by centroids of their own, fitted on a bounded
+sample of the cell, for as long as that makes fewer comparisons: the number of cells follows the number of vectors.
 
 Identical vectors of one label are one node with a multiplicity. They meet by 128 bits of hash, so that vectors themselves are
 shuffled once, to make the nodes, and after that only to be compared. Cells beyond `tile_rows` are compared as pairs of tiles.
@@ -21,6 +22,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -29,6 +31,7 @@ from .tiles import local_roots, run_groups, tile_pairs
 
 SAMPLE_ROWS = 20_000  # rows that k-means is fitted on, over all labels
 CELL_ROWS = 2_000  # vectors that a cell is meant to have
+CHILD_SAMPLE, CHILDREN, TASK_ROWS = 512, 32, 50_000  # of a cell that is cut: rows its centroids are fitted on, their number at most, rows in a task
 SLACK = 1e-9  # of the bound, against rounding
 
 
@@ -136,9 +139,82 @@ def _assign(nodes: DataFrame, cells: dict, cosine: float) -> DataFrame:
     return nodes.select("node", "label", "mult", "v").mapInArrow(each, f"bucket string, node long, mult long, home boolean, v {kind}")
 
 
-def embedding_links(nodes: DataFrame, cosine: float = 0.98, tile_rows: int = 4096, cells: dict | None = None) -> DataFrame:
+def _memberships(x: np.ndarray, c: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """(best cell, which cells each row is in) by the planes between the centroids."""
+    score = x @ c.T
+    best = score.argmax(axis=1)
+    apart = np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))[best]
+    near = score[np.arange(len(x)), best][:, None] - score <= reach * apart + SLACK
+    near[np.arange(len(x)), best] = True
+    return best, near
+
+
+def _children(placed: DataFrame, sizes: DataFrame, reach: float, cell_rows: int) -> DataFrame:
+    """(bucket, parts, salts, centroids): for each cell of sizes(bucket, n) that a cut helps, its own centroids."""
+    own = placed.where("home").join(sizes.withColumnRenamed("bucket", "_b"), F.col("bucket") == F.col("_b")).select("bucket", "n", "node", "v")
+    order = W.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(2)))
+    sample = own.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= CHILD_SAMPLE).withColumn("_group", F.xxhash64("bucket"))
+
+    def fit(table: pa.Table):
+        n = table.column("n")[0].as_py()
+        x = table.column("v").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(table.num_rows, -1)
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        k = min(CHILDREN, -(-n // cell_rows), len(x) // 8)
+        if k < 2:
+            return None
+        c = spherical_kmeans(x, k)
+        if _memberships(x, c, reach)[1].sum() > len(x) * k / 2:
+            return None  # vectors that all are within reach of each other
+        return pa.RecordBatch.from_arrays([table.column("bucket").combine_chunks()[:1], pa.array([k], pa.int32()), pa.array([max(1, n // TASK_ROWS)], pa.int32()), pa.array([c.ravel()], pa.list_(pa.float64()))], ["bucket", "parts", "salts", "centroids"])
+
+    return run_groups(sample, ["bucket", "n", "v"], fit, "bucket string, parts int, salts int, centroids array<double>")
+
+
+def _cut(placed: DataFrame, children: DataFrame, reach: float) -> DataFrame:
+    """The rows of the cells that children has, in their new cells. A cell's centroids go with each of its parts, ahead of its rows."""
+    kind = dict(placed.dtypes)["v"]
+    ahead = children.select("bucket", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("parts").cast("long").alias("node"), F.lit(-1).cast("long").alias("mult"), F.lit(False).alias("home"), F.col("centroids").alias("c"), F.lit(None).cast(kind).alias("v"))
+    rows = placed.join(children.select(F.col("bucket").alias("_b"), "salts"), F.col("bucket") == F.col("_b")).select("bucket", F.pmod(F.xxhash64("node", F.lit(3)), "salts").cast("int").alias("salt"), "node", "mult", "home", F.lit(None).cast("array<double>").alias("c"), "v")
+    dealt = ahead.unionByName(rows).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "mult")
+
+    def each(batches):
+        c = None
+        for batch in batches:
+            heads = np.flatnonzero(batch.column(3).to_numpy() < 0).tolist()
+            for lo, hi in zip([0, *heads], [*heads, batch.num_rows], strict=True):
+                if lo in heads:
+                    c = np.array(batch.column(5)[lo].as_py()).reshape(batch.column(2)[lo].as_py(), -1)
+                    lo += 1
+                if hi <= lo:
+                    continue
+                part = batch.slice(lo, hi - lo)
+                x = part.column(6).flatten().to_numpy().astype(np.float64).reshape(hi - lo, -1)
+                best, near = _memberships(x / np.linalg.norm(x, axis=1)[:, None], c, reach)
+                row, cell = np.nonzero(near)
+                take = pa.array(row)
+                home = part.column(4).to_numpy(zero_copy_only=False)[row] & (cell == best[row])
+                names = [f"{b}/{i}" for b, i in zip(part.column(0).take(take).to_pylist(), cell.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), part.column(2).take(take), part.column(3).take(take), pa.array(home), part.column(6).take(take)], ["bucket", "node", "mult", "home", "v"])
+
+    return dealt.mapInArrow(each, f"bucket string, node long, mult long, home boolean, v {kind}")
+
+
+def _refined(placed: DataFrame, cosine: float, cell_rows: int, rounds: int = 8) -> DataFrame:
+    """placed, with its large cells cut as long as that helps."""
+    reach = math.sqrt(1 - cosine * cosine) + SLACK
+    for _ in range(rounds):
+        large = placed.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 4 * cell_rows)
+        children = materialize(_children(placed, large, reach, cell_rows))
+        if children.isEmpty():
+            break
+        stays = placed.join(children.select(F.col("bucket").alias("_b")), F.col("bucket") == F.col("_b"), "left_anti")
+        placed = materialize(stays.unionByName(_cut(placed, children, reach)))
+    return placed
+
+
+def embedding_links(nodes: DataFrame, cosine: float = 0.98, tile_rows: int = 4096, cells: dict | None = None, cell_rows: int = CELL_ROWS) -> DataFrame:
     """nodes(node, label, mult, v) -> rows (kind, x, y): kind 0 adds y links to node x, kind 1 is an edge of a spanning star."""
-    placed = _assign(nodes, fit_cells(nodes) if cells is None else cells, cosine)
+    placed = _refined(_assign(nodes, fit_cells(nodes, cell_rows=cell_rows) if cells is None else cells, cosine), cosine, cell_rows)
     tiled = tile_pairs(placed.withColumn("key", F.xxhash64("bucket")), "key", "node", tile_rows)
 
     def work(table: pa.Table):

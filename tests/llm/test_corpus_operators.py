@@ -102,7 +102,7 @@ def test_embeddings_across_cells_and_tiles(spark):
     want = roots(len(x), np.argwhere(close).tolist())
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     cells = {(la, 16): embed_dedup.spherical_kmeans(u[np.array(label) == la], 9) for la in (0, 1)}
-    for extra in ({}, {"cells": cells}, {"cells": cells, "tile_rows": 7}, {"tile_rows": 11}):
+    for extra in ({}, {"cells": cells}, {"cells": cells, "tile_rows": 7}, {"tile_rows": 11}, {"cells": {}, "cell_rows": 12}, {"cells": cells, "cell_rows": 5}):
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.embedding_components(table, **extra).collect()}
         assert got == {i: (int(close[i].sum()), want[i], want[i] == i) for i in range(len(x))}
 
