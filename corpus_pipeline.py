@@ -21,7 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (similarity 0.8 of 5-word shingles) stays, the one of the smallest id."""
+    """One document of each group of near copies stays, the one of the smallest id: candidates by SimHash fingerprints of 5-word shingles and by min-hash bands,
+    verified by a similarity of 0.8."""
     return near_copies.drop_near_copies(docs)
 
 
@@ -42,7 +43,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality_rules), ("near-duplicates", near_duplicates), ("repeated passages", repeated_passages), ("personal data", personal_data), ("packing", packed)]
 
-#: SQL can't express the packing stage (nor the tokenizer it needs); the tests compare each stage with a brute-force version.
+#: SQL can't express the packing stage (nor the tokenizer it needs). tests/llm compares what the stages call with brute-force versions, near
+#: copies in the stage itself, and checks that run() is the stages in turn.
 ORACLE_SQL = None
 
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The word pattern of the contracts: everything but space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Text that is turned into Python objects at a time.
+SLICE_BYTES = 4 << 20
 
 
 def words_of(text: str) -> list[str]:
@@ -41,9 +45,21 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def slices(batches: Iterable[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of about SLICE_BYTES of text; a longer text is a part of its own."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)) if batch.num_rows else []
+        at = 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            n = max(1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")) - at)
+            yield batch.slice(at, n)
+            at += n
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[tuple[list, list[str]]]:
     """Ids and texts of (doc_id, text) batches in short slices: a batch of long texts isn't turned into Python strings at once."""
-    for batch in batches:
+    for batch in slices(batches):
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
             yield part.column(0).to_pylist(), part.column(1).to_pylist()

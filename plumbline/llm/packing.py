@@ -23,11 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, id_and_text, materialize
+from .common import BoundedCache, id_and_text, materialize, slices
 
 CAPACITY, END = 4096, 1
 BUCKET_ROWS = 20_000
-SLICE_ROWS = 2000  # documents whose words are numbered together
 
 
 class WordIds:
@@ -95,8 +94,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
 
     def each(batches):
         ids_of, end = load(path), np.array([END], "<u4")
-        for batch, at in ((b, at) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
-            part, out = batch.slice(at, SLICE_ROWS), []
+        for part in slices(batches):
+            out = []
             for doc, ids in zip(part.column(0).to_pylist(), ids_of.encode_all(part.column(1)), strict=True):
                 ids = np.concatenate((ids, end))
                 out += [(doc, lo // capacity, lo, len(ids[lo : lo + capacity]), zlib.crc32(ids[lo : lo + capacity])) for lo in range(0, len(ids), capacity)]
