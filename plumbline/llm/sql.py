@@ -60,4 +60,39 @@ SELECT v.vec_id, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n_links, component_id, v.
 FROM v JOIN top USING (vec_id) LEFT JOIN cnt USING (vec_id)"""
 
 
-ORACLES = {"op2_licenses": op2_sql(), "op4_quality": op4_sql(), "op5_embeddings": op5_sql()}
+def op12_sql() -> str:
+    """Every conversation's prefixes as lists of digests; sums over a subtree by the prefixes of each node's smallest member. CRC-32 bit by bit."""
+    step = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)"
+    return f"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+                  md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS b FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, CAST(xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda a, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295) % 9 AS BIGINT) AS h FROM (SELECT DISTINCT c FROM t)),
+turns AS (SELECT ids.c, t.i, t.h, t.b, 0 AS own FROM ids JOIN t ON t.c = ids.c - ids.c % 5 AND t.i <= ids.h UNION ALL SELECT ids.c, t.i, t.h, t.b, 1 FROM ids JOIN t ON t.c = ids.c AND t.i > ids.h),
+placed AS (SELECT c, row_number() OVER w AS depth, list(h) OVER w AS hs, b FROM turns WINDOW w AS (PARTITION BY c ORDER BY own, i)),
+steps AS (SELECT c, depth, md5(array_to_string(hs, '')) AS node, CASE WHEN depth > 1 THEN md5(array_to_string(hs[1:depth - 1], '')) ELSE '' END AS up, b FROM placed UNION ALL SELECT c, 0, '', NULL, 0 FROM ids),
+nodes AS (SELECT node, depth, any_value(up) AS up, min(c) AS conv_id, count(*) AS n, max(b) AS b FROM steps GROUP BY node, depth),
+kids AS (SELECT up, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up, depth),
+whole AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.up = nodes.node AND kids.depth = nodes.depth),
+sums AS (SELECT s.node, s.depth, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves, sum((w.n - 1) * w.b) AS saved FROM whole w JOIN steps s ON s.c = w.conv_id AND s.depth <= w.depth GROUP BY s.node, s.depth),
+last AS (SELECT c, max(depth) AS depth, arg_max(node, depth) AS node FROM steps GROUP BY c),
+ends AS (SELECT node, depth, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest FROM last GROUP BY node, depth)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(w.n AS BIGINT) AS n_convs, CAST(w.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.digest, sha256('')) AS ends_sha256
+FROM whole w JOIN sums s ON s.node = w.node AND s.depth = w.depth LEFT JOIN nodes p ON p.node = w.up AND p.depth = w.depth - 1 LEFT JOIN ends e ON e.node = w.node AND e.depth = w.depth"""
+
+
+def op13_sql() -> str:
+    hashed = ", ".join(f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+t AS (SELECT doc_id, text, regexp_extract_all(text, '[ 	-]*[^ 	-]+|[ 	-]+') AS u, {hashed} FROM d),
+n AS (SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b FROM t),
+f AS (SELECT doc_id, text, n, CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+             coalesce(array_to_string(u[1:a], ''), '') AS prefix, coalesce(array_to_string(u[a + 1:b], ''), '') AS middle, coalesce(array_to_string(u[b + 1:n], ''), '') AS suffix FROM n)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM f"""
+
+
+ORACLES = {"op2_licenses": op2_sql(), "op4_quality": op4_sql(), "op5_embeddings": op5_sql(), "op12_prefix_trie": op12_sql(), "op13_fim": op13_sql()}
