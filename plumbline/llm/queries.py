@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embed_dedup, fim, licenses, packing, pii, prefix_trie, quality, simhash, substring, toxicity
+from . import ann_graph, bpe, chat, embed_dedup, fim, licenses, packing, pii, prefix_trie, quality, simhash, substring, toxicity
 from .sql import ORACLES  # noqa: F401  (re-exported)
 
 
@@ -68,6 +68,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(planted)))
 
 
+def op11_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_graph.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -82,4 +86,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_licenses, op3_pii, op4_quality, op5_embeddings, op6_packing, op7_substrings, op8_simhash, op9_toxicity, op10_chat, op12_prefix_trie, op13_fim, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_licenses, op3_pii, op4_quality, op5_embeddings, op6_packing, op7_substrings, op8_simhash, op9_toxicity, op10_chat, op11_ann_graph, op12_prefix_trie, op13_fim, pipeline)}
