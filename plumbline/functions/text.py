@@ -126,12 +126,6 @@ def longest_run(tokens: Column) -> Column:
     return F.aggregate(tokens, start, step, lambda a: F.struct(a["n"].alias("n"), a["last"].alias("last")))
 
 
-def upper_median(values: Column) -> Column:
-    """An aggregate: the middle value, the upper one of two."""
-    ordered = F.array_sort(F.collect_list(values))
-    return F.element_at(ordered, (F.floor(F.size(ordered) / 2) + 1).cast("int"))
-
-
 def normalize_text(text: Column) -> Column:
     """Compatibility forms folded (NFKC) and plain quotes; there is no built-in for the former, so it goes through Arrow."""
     import unicodedata

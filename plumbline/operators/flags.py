@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .selection import exact_medians
+
 C = F.col
 #: Thresholds that settings may replace.
 DEFAULTS = {"high_debt_to_equity": 2.0, "ocf_to_net_profit_low": 0.7, "liquidity_minimum_observations": 5, "low_liquidity_average_daily_volume": 10000.0, "relative_high": 2.0, "relative_low": 0.5}
@@ -40,11 +42,12 @@ def company_flags(df: DataFrame, **thresholds) -> Column:
 
 
 def relative_flags(df: DataFrame, group: list[str], **thresholds) -> DataFrame:
-    """df with relative_flags: P/E and P/B against the exact medians of the group's positive values. The medians are aggregated and
-    joined back, so a large group is never held in one window."""
+    """df with relative_flags: P/E and P/B against the exact medians of the group's positive values. The medians are found by narrowing and
+    joined back, so a large group is never held in one task."""
     t = DEFAULTS | thresholds
-    med = lambda c: F.median(F.when(C(c) > 0, C(c)))
-    m = df.groupBy(*group).agg(med("pe").alias("_pe"), med("pb").alias("_pb"))
+    positive = df.unpivot([C(g) for g in group], ["pe", "pb"], "_metric", "_value").where("_value > 0")
+    found = exact_medians(positive, [*group, "_metric"], "_value")
+    m = found.groupBy(*group).agg(*[F.max(F.when(C("_metric") == x, C("median"))).alias(f"_{x}") for x in ("pe", "pb")])
     out = df.join(m, group, "left") if group else df.crossJoin(F.broadcast(m))  # a single row when there is no group
     high, low = t["relative_high"], t["relative_low"]
     flags = F.array(

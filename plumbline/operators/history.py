@@ -44,17 +44,24 @@ def _first(history: DataFrame, name: str, source_shift: int, year_shift: int, en
 
 
 def chained_cagr(history: DataFrame, ends: DataFrame, years: int = 2) -> DataFrame:
-    """history and ends(ticker, metric, end) -> (ticker, metric, cagr, note): growth over years FY-2 to FY0. Both links are taken from one
-    report each; where the later report's comparative differs from what was reported before, the chain is withheld."""
-    now, then = _first(history, "v0", 0, 0, ends), _first(history, "p1", 0, 1, ends)
-    before, start = _first(history, "v1", 1, 1, ends), _first(history, "p2", 1, 2, ends)
+    """history and ends(ticker, metric, end, found, previous, months) -> (ticker, metric, cagr, note): growth over years FY-2 to FY0. found says whether the latest
+    report has a selected fact, previous is its comparative, which may be one that the history leaves out. The value of the middle year has to be in
+    its own report and to agree with that comparative; the start is the comparative of the middle year's report. A note says why there's no result."""
+    now, before, start = _first(history, "v0", 0, 0, ends), _first(history, "v1", 1, 1, ends), _first(history, "p2", 1, 2, ends)
     r = ends
-    for x in (now, then, before, start):
+    for x in (now, before, start):
         r = r.join(x, ["ticker", "metric"], "left")
     limit = F.when(C("metric") == "eps", TOLERANCE["eps"]).otherwise(TOLERANCE["revenue"])
-    restated = F.coalesce(F.abs(C("p1") - C("v1")) > F.abs("v1") * limit, F.lit(False))
-    missing = C("v0").isNull() | C("p1").isNull() | C("v1").isNull() | C("p2").isNull()
-    return r.select("ticker", "metric", F.when(~missing & ~restated, cagr(C("v0"), C("p2"), years)).alias("cagr"), F.when(missing, "chain of years is incomplete").when(restated, "restated").alias("note"))
+    grown = cagr(C("v0"), C("p2"), years)
+    figure = lambda c: F.format_number(c, 2)
+    withheld = (
+        F.when(C("months") != 12, "the latest period isn't of twelve months").when(~F.coalesce("found", F.lit(False)), "no value in the latest annual report")
+        .when(C("v0").isNull() | C("v1").isNull() | C("p2").isNull(), "chain of years is incomplete").when(C("previous").isNull() | (C("v1") == 0), "no comparative to check the basis by")
+        .when(F.abs(C("previous") - C("v1")) > F.abs("v1") * limit, F.concat(F.lit("restated from "), figure("v1"), F.lit(" to "), figure("previous")))
+    )
+    r = r.withColumn("_withheld", withheld)
+    value = F.when(C("_withheld").isNull(), grown)
+    return r.select("ticker", "metric", value.alias("cagr"), F.coalesce("_withheld", F.when(value.isNull(), "undefined: the start isn't positive or the end is negative")).alias("note"))
 
 
 def consecutive_decline(history: DataFrame) -> DataFrame:

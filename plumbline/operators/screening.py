@@ -117,10 +117,10 @@ def screening_metrics(wide: DataFrame) -> DataFrame:
     return wide.withColumns({k: v[0] for k, v in _ratios().items()})
 
 
-def lineage(screened: DataFrame, basis_col: Column, inputs: DataFrame | None = None, growth: DataFrame | None = None) -> DataFrame:
+def lineage(screened: DataFrame, basis_col: Column, facts: DataFrame | None = None, growth: DataFrame | None = None, ways: DataFrame | None = None) -> DataFrame:
     """(ticker, metric, value, formula, numerator, denominator, period_basis, fact_ids, source_pages, notes): one row for each ratio that is
-    defined. inputs(ticker, metric, fact_id, page, extraction_method) are the facts behind the row, a few for each issuer; growth(ticker, metric,
-    cagr, note) adds compound growth over three years, its reason where it is withheld."""
+    defined. ways, the closure of provenance, has all that a ratio is made of, and facts(fact_id, page, extraction_method) where that stands; growth(ticker,
+    metric, cagr, note) adds compound growth over three years, its reason where it is withheld."""
     rows = screened.withColumn("_basis", basis_col).unpivot(["ticker", "_basis"], list(RATIOS), "metric", "value").where("value is not null")
     table = _ratios()
     pick = lambda k: F.element_at(F.create_map(*[F.lit(x) for n, v in table.items() for x in (n, v[k])]), C("metric"))
@@ -129,16 +129,16 @@ def lineage(screened: DataFrame, basis_col: Column, inputs: DataFrame | None = N
         ends = screened.select(C("ticker").alias("_t"), basis_col.alias("_b"))
         more = growth.join(ends, growth.ticker == ends["_t"]).where("cagr is not null or note is not null")
         out = out.unionByName(more.select("ticker", F.concat("metric", F.lit("_cagr_3y")).alias("metric"), C("cagr").alias("value"), F.lit("(current / two years before) ^ (1 / 2) - 1").alias("formula"), C("metric").alias("numerator"), C("metric").alias("denominator"), C("_b").alias("period_basis"), "note"))
-    if inputs is None:
+    if ways is None or facts is None:
         return out.select("*", *[F.lit(None).cast("string").alias(c) for c in ("fact_ids", "source_pages")], C("note").alias("notes")).drop("note")
-    held = inputs.groupBy(C("ticker").alias("_of")).agg(F.map_from_entries(F.collect_list(F.struct(C("metric"), F.struct(C("fact_id").cast("string").alias("id"), C("page").cast("string").alias("page"), C("extraction_method").alias("how"))))).alias("_facts"))
-    out = out.join(held, out.ticker == held["_of"], "left")
-    used = F.array_distinct(F.filter(F.array(*[F.try_element_at("_facts", C(c)) for c in ("numerator", "denominator")]), lambda x: x.isNotNull()))
-    by_market = F.exists(used, lambda x: F.coalesce(X.market_share_note(x["how"]).isNotNull(), F.lit(False)))
-    note = X.joined(C("note"), F.when(by_market, X.market_share_note(F.lit("cse_market_data"))))
+    known = facts.where("fact_id is not null").groupBy(C("fact_id").alias("_id")).agg(F.min(C("page").cast("string")).alias("_page"), F.min("extraction_method").alias("_how"))
+    used = ways.where(C("node").startswith("ratio:")).join(known, C("source") == C("_id"))
+    used = used.groupBy(C("node").alias("_node")).agg(F.array_sort(F.collect_set("_id")).alias("_ids"), F.array_sort(F.collect_set("_page")).alias("_pages"), F.max(X.market_share_note(C("_how"))).alias("_market"))  # a handful for each
+    out = out.join(used, F.concat_ws(":", F.lit("ratio"), "ticker", "metric") == C("_node"), "left")
+    none = F.array().cast("array<string>")
     return out.select(
-        *[c for c in out.columns if c not in ("_of", "_facts", "note")], F.concat_ws("; ", F.transform(used, lambda x: x["id"])).alias("fact_ids"),
-        F.concat_ws("; ", F.array_distinct(F.transform(F.filter(used, lambda x: x["page"].isNotNull()), lambda x: x["page"]))).alias("source_pages"), F.nullif(note, F.lit("")).alias("notes"),
+        *[c for c in out.columns if not c.startswith("_") and c != "note"], F.concat_ws("; ", F.coalesce("_ids", none)).alias("fact_ids"),
+        F.concat_ws("; ", F.coalesce("_pages", none)).alias("source_pages"), F.nullif(X.joined(C("note"), C("_market")), F.lit("")).alias("notes"),
     )
 
 

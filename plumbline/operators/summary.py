@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import render_metric
+from .ranking import top
+from .selection import exact_medians
 
 C = F.col
 
 
 def medians(df: DataFrame, metrics: list[str], by: list[str] | None = None) -> DataFrame:
-    """(by, metric, median, observations): exact, over all defined values, negative ones too."""
+    """(by, metric, median, observations): exact, over all defined values, negative ones too; found by narrowing, so that no group is held in one task."""
     by = by or []
-    return df.unpivot([C(b) for b in by], metrics, "metric", "value").groupBy(*by, "metric").agg(F.median("value").alias("median"), F.count("value").alias("observations"))
+    return exact_medians(df.unpivot([C(b) for b in by], metrics, "metric", "value"), [*by, "metric"], "value")
 
 
 def confidence_counts(df: DataFrame, column: str = "data_confidence") -> DataFrame:
@@ -58,8 +60,6 @@ def component_sum(rows: DataFrame, by: list[str], label: str, values: dict[str,
 
 def all_components(rows: DataFrame, by: list[str], label: str, value: str, wanted: tuple[str, ...], ord_col: str) -> DataFrame:
     """The sum of the first row of each wanted label (cash: deposits and cash at bank), only where every label is there."""
-    from .ranking import top
-
     first = top(rows.where(C(label).isin(*wanted) & C(value).isNotNull()), [*by, label], [C(ord_col).asc()])
     return first.groupBy(*by).agg(F.sum(value).alias(value), F.count("*").alias("_n")).where(C("_n") == len(wanted)).drop("_n")
 
@@ -95,7 +95,10 @@ def summary_lines(title: str, screening: DataFrame, review: DataFrame) -> DataFr
     order = lambda names: F.array_position(F.array(*map(F.lit, names)), C("metric")).cast("string")
     med = medians(long, has(MEDIANS))
     values = long.unpivot(["ticker"], has(EXTREMES), "metric", "value").where("value is not null")
-    ends = values.groupBy("metric").agg(F.max_by("ticker", F.struct("value", "ticker")).alias("hi"), F.max("value").alias("hv"), F.min_by("ticker", F.struct("value", "ticker")).alias("lo"), F.min("value").alias("lv"))
+    # the first ticker of ties, at both ends
+    upper, lower = (top(values, ["metric"], [o, C("ticker").asc()]).select("metric", C("ticker").alias(t), C("value").alias(v)) for o, t, v in ((C("value").desc(), "hi", "hv"), (C("value").asc(), "lo", "lv")))
+    known = spark.createDataFrame([(m,) for m in has(EXTREMES)], "metric string")
+    ends = known.join(upper, "metric", "left").join(lower, "metric", "left")
     absent = F.concat_ws(", ", F.array_compact(F.array(*[F.when(C(m).isNull(), F.lit(NAMES.get(m, m))) for m in has(COMPLETE)])))
     flags = screening.select(F.explode(F.split("flags", "; ")).alias("flag")).where("flag <> ''").groupBy("flag").agg(F.count("*").alias("n"))
     warned = warning_groups(review).withColumn("head", F.concat(F.lit("- `"), C("rule"), F.lit("`: "), C("n"), F.lit(" items ("), C("tickers"), F.lit("): "), C("reasons"), F.when(C("more") > 0, F.concat(F.lit("; and "), C("more"), F.lit(" more distinct reasons"))).otherwise("")))
@@ -103,7 +106,7 @@ def summary_lines(title: str, screening: DataFrame, review: DataFrame) -> DataFr
         spark.createDataFrame(text, "section int, key string, line string"), lines(counts, 1, F.lit("1"), said),
         lines(basis_counts(screening, "income_period"), 2, C("basis"), F.concat(F.lit("- "), C("basis"), F.lit(": "), C("n"), F.lit(" companies"))),
         lines(med, 3, order(has(MEDIANS)), F.concat(F.lit("- Sector median "), name(C("metric")), F.lit(": "), shown(C("metric"), C("median")), F.lit(" ("), C("observations"), F.lit(" companies)"))),
-        lines(ends, 4, order(has(EXTREMES)), F.concat(F.lit("- "), name(C("metric")), F.lit(": highest "), C("hi"), F.lit(" ("), shown(C("metric"), C("hv")), F.lit("); lowest "), C("lo"), F.lit(" ("), shown(C("metric"), C("lv")), F.lit(")"))),
+        lines(ends, 4, order(has(EXTREMES)), F.when(C("hi").isNull(), F.concat(F.lit("- "), name(C("metric")), F.lit(": NA"))).otherwise(F.concat(F.lit("- "), name(C("metric")), F.lit(": highest "), C("hi"), F.lit(" ("), shown(C("metric"), C("hv")), F.lit("); lowest "), C("lo"), F.lit(" ("), shown(C("metric"), C("lv")), F.lit(")")))),
         lines(screening.withColumn("_absent", absent).where("_absent <> ''"), 5, C("ticker"), F.concat(F.lit("- "), C("ticker"), F.lit(": "), C("_absent"))),
         lines(flags, 6, C("flag"), F.concat(F.lit("- "), C("flag"), F.lit(": "), C("n"))),
         lines(warned, 7, C("rule"), C("head")),

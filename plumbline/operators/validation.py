@@ -1,7 +1,9 @@
 """Identities between facts of one document: confidence is taken down where they fail, and each failure is a review row.
 
 The rules work on one wide row per document with columns x and x_conf, rule after rule in a fixed order, as later rules read
-what earlier ones changed; `validate_facts` makes these rows of long facts and brings the outcome back."""
+what earlier ones changed. What a rule has to say is an event of a metric; a document's events are an array in the rules' order, and
+`folded` takes a fact's state (status, notes, confidence, value, multiplier, unit) through those of its metric. `validate_facts` makes the wide
+rows of long facts and brings the outcome back."""
 
 from __future__ import annotations
 
@@ -10,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import ratios as R
 from ..functions.text import fact_id
 from .ranking import top
 
@@ -26,18 +29,45 @@ RULES = (
 )
 
 
+EVENT = "struct<metric:string,kind:string,rule:string,reason:string,less:double,factor:double,unit:string>"
+
+
 def _holds(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
-def _near(value: Column, reference: Column, tolerance: float) -> Column:
-    return _holds((reference != 0) & (F.abs(value - reference) <= F.abs(reference) * tolerance))
+def _say(*parts: str | Column) -> Column:
+    """Text with figures in it; a figure is given with its digits."""
+    return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+
+def _event(test: Column, metric: str, kind: str, rule: str | None, reason: Column, less: float = 0.0, factor: Column | None = None, unit: Column | None = None) -> Column:
+    """An event where the test holds, else null. Kinds: warn takes `less` off the confidence, demote caps it, note only says something, rescale also
+    multiplies the value; rule is null for what isn't an issue."""
+    none = F.lit(None)
+    parts = {"metric": F.lit(metric), "kind": F.lit(kind), "rule": F.lit(rule), "reason": reason, "less": F.lit(less), "factor": none if factor is None else factor, "unit": none if unit is None else unit}
+    return F.when(_holds(test), F.struct(*[v.alias(k) for k, v in parts.items()]).cast(EVENT))
+
+
+def folded(events: Column, state: dict[str, Column]) -> Column:
+    """struct(status, notes, confidence, value, multiplier, unit): a fact's state after its events, one after the other."""
+    kinds = {"status": "string", "notes": "string", "confidence": "double", "value": "double", "multiplier": "double", "unit": "string"}
+    start = F.struct(*[state[k].cast(t).alias(k) for k, t in kinds.items()])
+
+    def step(acc: Column, e: Column) -> Column:
+        lowered = F.when(e["kind"] == "warn", F.greatest(F.lit(0.0), acc["confidence"] - e["less"])).when(e["kind"] == "demote", F.least(acc["confidence"], F.lit(CAP))).otherwise(acc["confidence"])
+        return F.struct(
+            F.when(e["kind"].isin("warn", "demote"), "review").otherwise(acc["status"]).alias("status"), F.concat_ws("; ", F.nullif(acc["notes"], F.lit("")), e["reason"]).alias("notes"), lowered.alias("confidence"),
+            (acc["value"] * F.coalesce(e["factor"], F.lit(1.0))).alias("value"), (acc["multiplier"] * F.coalesce(e["factor"], F.lit(1.0))).alias("multiplier"), F.coalesce(e["unit"], acc["unit"]).alias("unit"),
+        )
+
+    return F.aggregate(events, start, step)
 
 
 def validate(wide: DataFrame) -> DataFrame:
     """wide(id.., x and x_conf for METRICS; market_shares, null where an issuer has several share classes; optional bvps_printed,
     whether book value per share stands on the statement itself, and reconciled, whether the document's counts are compared)
-    -> the same with rules array<string>, changed confidences, and shares rescaled by shares_factor where a printed scale was missed.
+    -> the same with events (in order), rules array<string>, changed confidences, and shares rescaled by shares_factor where a printed scale was missed.
 
     A count of shares is right if it is near any of its references: profit / EPS, as long as EPS is reliable, or the market's."""
     absent = {f"{m}{x}": F.lit(None).cast("double") for m in METRICS for x in ("", "_conf")} | {"market_shares": F.lit(None).cast("double"), "bvps_printed": F.lit(False), "reconciled": F.lit(True)}
@@ -59,27 +89,49 @@ def validate(wide: DataFrame) -> DataFrame:
     implied = F.try_divide(profit, eps)
     d = d.withColumns({"_usable": usable, "_implied": F.when(usable & C("reconciled") & (implied > 0), implied), "_reference": F.when(C("reconciled"), C("_market"))})
     references = ((C("_implied"), NEAR_PROFIT), (C("_reference"), NEAR_MARKET))
-    matched = reduce(lambda x, y: x | y, [_near(shares, r, t) for r, t in references])
+    matched = reduce(lambda x, y: x | y, [R.near(shares, r, t) for r, t in references])
     off = _holds(shares != 0) & (C("_implied").isNotNull() | C("_reference").isNotNull()) & ~matched
-    fits = lambda k: _near(shares * k, C("_implied"), NEAR_SCALED) | _near(shares * k, C("_reference"), NEAR_SCALED)
+    fits = lambda k: R.near(shares * k, C("_implied"), NEAR_SCALED) | R.near(shares * k, C("_reference"), NEAR_SCALED)
     d = d.withColumn("shares_factor", F.coalesce(*[F.when(off & fits(k), k) for k in SCALES]))
+    by_profit = R.near(shares * F.coalesce("shares_factor", F.lit(1.0)), C("_implied"), F.when(C("shares_factor").isNull(), NEAR_PROFIT).otherwise(NEAR_SCALED))
+    d = d.withColumns({"_printed_count": shares, "_agrees": F.when(by_profit, "profit / EPS").otherwise("market value / price"), "_matched": _holds(shares != 0) & matched})
     d = d.withColumns({"share_count_identity": off & C("shares_factor").isNull(), "ordinary_shares_outstanding": shares * F.coalesce("shares_factor", F.lit(1.0))})
     count = F.when(_holds(C("ordinary_shares_outstanding_conf") >= GATE) & ~C("share_count_identity"), C("ordinary_shares_outstanding"))
     expected = F.when(_holds(C("ordinary_equity_conf") >= GATE) & C("reconciled"), F.try_divide(C("ordinary_equity"), F.coalesce(count, C("_market"))))
-    d = d.withColumn("bvps_identity", _holds((expected > 0) & C("bvps").isNotNull()) & ~_near(C("bvps"), expected, NEAR_BOOK))
+    d = d.withColumn("_expected", expected)
+    expected = C("_expected")
+    d = d.withColumn("bvps_identity", _holds((expected > 0) & C("bvps").isNotNull()) & ~R.near(C("bvps"), expected, NEAR_BOOK))
     d = d.withColumn("dps_range", _holds(C("dps") < 0) | (C("_usable") & _holds(C("dps") > F.greatest(5 * F.abs(eps), F.lit(1.0)))))
-    less = lambda m, rule, by: F.when(C(rule), F.greatest(F.lit(0.0), C(f"{m}_conf") - by)).otherwise(C(f"{m}_conf"))
-    capped = lambda m, test: F.when(test, F.least(C(f"{m}_conf"), F.lit(CAP))).otherwise(C(f"{m}_conf"))
-    d = d.withColumns(
-        {f"{m}_conf": less(m, "accounting_equation", 0.15) for m in RULES[0][1]} | {f"{m}_conf": less(m, "profit_revenue_scale", 0.12) for m in RULES[1][1]}
-        | {
-            "eps_conf": capped("eps", C("eps_profit_sign") | C("eps_identity")), "ordinary_shares_outstanding_conf": capped("ordinary_shares_outstanding", C("share_count_identity")),
-            # what is printed on the statement itself stands, and is only noted
-            "bvps_conf": capped("bvps", C("bvps_identity") & ~C("bvps_printed")), "dps_conf": capped("dps", C("dps_range")),
-        }
-    )
+    d = d.withColumn("events", F.array_compact(F.array(*_events())))
+    lowered = lambda m: folded(F.filter("events", lambda e: e["metric"] == m), {k: F.lit(None) for k in ("status", "notes", "value", "multiplier", "unit")} | {"confidence": C(f"{m}_conf")})["confidence"]
+    d = d.withColumns({f"{m}_conf": lowered(m) for m in dict.fromkeys(m for _, of in RULES for m in of)})
     names = F.array_compact(F.array(F.when(C("_low"), F.lit("low_confidence")), *[F.when(C(r), F.lit(r)) for r, _ in RULES]))
-    return d.withColumn("rules", names).drop("_low", "_market", "_usable", "_implied", "_reference", *[r for r, _ in RULES], *made)
+    return d.withColumn("rules", names).drop("_low", "_market", "_usable", "_implied", "_reference", "_printed_count", "_agrees", "_matched", "_expected", *[r for r, _ in RULES], *made)
+
+
+def _events() -> list[Column]:
+    """What the rules say of a wide row, in their order."""
+    figure = lambda x, digits=2: F.format_number(x, digits)
+    profit, eps = F.coalesce("net_profit_attributable", "net_profit"), C("eps")
+    off_by = F.abs(C("total_assets") - C("total_liabilities") - C("total_equity"))
+    per_share = F.try_divide(profit, C("_market"))
+    known = F.concat_ws("; ", _say("profit / EPS = ", figure(C("_implied"), 0)), _say("market value / price = ", figure(C("_reference"), 0)))
+    book = _say("book value per share ", figure(C("bvps")), " differs by more than 15% from equity / shares (", figure(C("_expected")), "); ")
+    scale = F.format_number("shares_factor", 0)
+    shares = "ordinary_shares_outstanding"
+    return [
+        *[_event(C("accounting_equation"), m, "warn", "accounting_equation", _say("total assets differ from liabilities and equity by ", figure(off_by), ", more than 5%"), 0.15) for m in RULES[0][1]],
+        *[_event(C("profit_revenue_scale"), m, "warn", "profit_revenue_scale", F.lit("net profit is more than twice revenue in size"), 0.12) for m in RULES[1][1]],
+        _event(C("eps_profit_sign"), "eps", "demote", "eps_profit_sign", _say("EPS ", figure(eps), " and profit ", figure(profit), " differ in sign")),
+        _event(C("eps_identity"), "eps", "demote", "eps_identity", _say("EPS ", figure(eps), " is ", figure(F.abs(F.try_divide(eps, per_share))), " times the profit for each share that the market counts (", figure(per_share), ")")),
+        _event(C("_matched"), shares, "note", None, _say("count agrees with ", C("_agrees"))),
+        _event(C("shares_factor").isNotNull(), shares, "rescale", None, _say("count was in units of ", scale, ": scaled it is within 5% of ", C("_agrees")), 0.0, C("shares_factor"), _say("shares x ", scale, " (inferred)")),
+        _event(C("share_count_identity"), shares, "demote", "share_count_identity", _say("count ", figure(C("_printed_count"), 0), " agrees with none of ", known)),
+        # what is printed on the statement itself stands, and is only noted
+        _event(C("bvps_identity") & C("bvps_printed"), "bvps", "note", "bvps_identity", _say(book, "the one on the statement stands")),
+        _event(C("bvps_identity") & ~C("bvps_printed"), "bvps", "demote", "bvps_identity", _say(book, "the calculated one is used")),
+        _event(C("dps_range"), "dps", "demote", "dps_range", F.when(C("dps") < 0, "dividend per share is negative").otherwise(_say("dividend per share ", figure(C("dps")), " is over five times EPS ", figure(eps)))),
+    ]
 
 
 def selected_facts(facts: DataFrame) -> DataFrame:
@@ -89,8 +141,9 @@ def selected_facts(facts: DataFrame) -> DataFrame:
 
 
 def validate_facts(facts: DataFrame, context: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """facts(doc_id, metric, value, confidence, ord, ..), context(doc_id, market_shares, reconciled) -> (facts with changed confidences and
-    rescaled counts, issues(doc_id, metric, rule)). Every fact below the gate is an issue; the other rules read the selected ones."""
+    """facts(doc_id, metric, value, confidence, ord, ..), context(doc_id, market_shares, reconciled) -> (facts with validation_status, validation_notes,
+    multiplier, original_unit, changed confidences and rescaled counts; issues(doc_id, metric, ord, rule, reason)). Every fact below the gate is an
+    issue; the other rules read the selected ones."""
     chosen = selected_facts(facts.where(C("metric").isin(*METRICS)))
     pick = lambda m, c: F.max(F.when(C("metric") == m, C(c)))
     printed = pick("bvps", "extraction_method").startswith("primary_") if "extraction_method" in facts.columns else F.lit(False)
@@ -98,17 +151,23 @@ def validate_facts(facts: DataFrame, context: DataFrame) -> tuple[DataFrame, Dat
     wide = chosen.groupBy("doc_id").agg(*both, *[pick(m, "ord").alias(f"{m}_ord") for m in METRICS], F.coalesce(printed, F.lit(False)).alias("bvps_printed"))
     wide = wide.join(context.select(C("doc_id").alias("_doc"), "market_shares", "reconciled"), C("doc_id") == C("_doc"), "left").drop("_doc")
     done = validate(wide.withColumn("reconciled", F.coalesce("reconciled", F.lit(False))))
-    factor = lambda m: C("shares_factor") if m == "ordinary_shares_outstanding" else F.lit(None).cast("double")
-    own = lambda m: F.filter("rules", lambda r: r.isin(*[n for n, of in RULES if m in of]))
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), C(f"{m}_ord").alias("ord"), C(f"{m}_conf").alias("conf"), factor(m).alias("factor"), own(m).alias("rules")) for m in METRICS])).alias("x")
-    changes = done.select(C("doc_id").alias("_doc"), each).select("_doc", C("x.metric").alias("_metric"), C("x.ord").alias("_ord"), "x.conf", "x.factor", "x.rules").where("_ord is not null and (size(rules) > 0 or factor is not null)")
+    places = F.create_map(*[x for m in METRICS for x in (F.lit(m), C(f"{m}_ord"))])
+    said = done.select(C("doc_id").alias("_doc"), places.alias("_places"), F.posexplode_outer("events").alias("_k", "_e"))  # outer: else a filter would be pushed through all the rules, as copies of them
+    said = said.select("_doc", C("_e.metric").alias("_metric"), F.element_at("_places", C("_e.metric")).alias("_ord"), F.struct("_k", "_e").alias("_x"))
+    said = said.groupBy("_doc", "_metric", "_ord").agg(F.transform(F.sort_array(F.collect_list("_x")), lambda x: x["_e"]).alias("_events"))  # a few at most
     same = (C("doc_id") == C("_doc")) & (C("metric") == C("_metric")) & (C("ord") == C("_ord"))
-    put = facts.join(changes, same, "left")
+    conf = C("confidence").cast("double")
+    low = F.array_compact(F.array(_event(conf < GATE, "", "warn", "low_confidence", _say("read with a confidence of ", F.format_number(conf, 2), ", below 0.80"))))
+    put = facts.join(said, same, "left").withColumn("_events", F.concat(low, F.coalesce("_events", F.array().cast(f"array<{EVENT}>"))))
+    own = lambda name, kind: C(name) if name in facts.columns else F.lit(None).cast(kind)
+    start = {"status": F.coalesce(own("validation_status", "string"), F.lit("passed")), "notes": F.coalesce(own("validation_notes", "string"), F.lit("")), "confidence": conf, "value": C("value"), "multiplier": F.coalesce(own("multiplier", "double").cast("double"), F.lit(1.0)), "unit": own("original_unit", "string")}
+    put = put.withColumn("_s", folded(C("_events"), start))
     kinds = dict(facts.dtypes)
-    new = {"confidence": F.coalesce("conf", C("confidence").cast("double")).cast(kinds["confidence"]), "value": F.when(C("factor").isNotNull(), C("value") * C("factor")).otherwise(C("value")).cast(kinds["value"])}
-    out = put.select(*[new[c].alias(c) if c in new else C(c) for c in facts.columns])
-    low = facts.where(C("confidence").cast("double") < GATE).select("doc_id", "metric", F.lit("low_confidence").alias("rule"))
-    return out, low.unionByName(changes.select(C("_doc").alias("doc_id"), C("_metric").alias("metric"), F.explode("rules").alias("rule")))
+    changed = F.exists("_events", lambda e: e["factor"].isNotNull())
+    new = {"confidence": C("_s.confidence").cast(kinds["confidence"]), "value": F.when(changed, C("_s.value").cast(kinds["value"])).otherwise(C("value")), "validation_status": C("_s.status"), "validation_notes": C("_s.notes"), "multiplier": C("_s.multiplier").cast(kinds.get("multiplier", "double")), "original_unit": C("_s.unit")}
+    out = put.select(*[new[c].alias(c) if c in new else C(c) for c in facts.columns], *[x.alias(c) for c, x in new.items() if c not in facts.columns])
+    issues = put.select("doc_id", "metric", "ord", F.explode_outer("_events").alias("_e")).where("_e.rule is not null")
+    return out, issues.select("doc_id", "metric", "ord", C("_e.rule").alias("rule"), C("_e.reason").alias("reason"))
 
 
 def derive_identities(df: DataFrame) -> DataFrame:

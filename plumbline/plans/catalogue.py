@@ -13,8 +13,10 @@ from ..operators import history as H
 from ..operators import layout as LY
 from ..operators import liquidity as L
 from ..operators import overlays as O
+from ..operators import provenance as PV
 from ..operators import ranking as RK
 from ..operators import screening as S
+from ..operators import selection as SL
 from ..operators import summary as SM
 from ..operators import validation as V
 from ..streaming import daily
@@ -96,16 +98,20 @@ def history_dedup_desc(spark, sf):
 
 
 @query(f"""WITH {_HIST},
-c AS (SELECT ticker, metric, max(value) FILTER (source_period_end = DATE '2000-12-31' AND value_basis = 'current') AS v0, max(value) FILTER (source_period_end = DATE '2000-12-31' AND value_basis = 'comparative') AS p1,
- max(value) FILTER (source_period_end = DATE '1999-12-31' AND value_basis = 'current') AS v1, max(value) FILTER (source_period_end = DATE '1999-12-31' AND value_basis = 'comparative') AS p2 FROM h GROUP BY ALL),
-e AS (SELECT DISTINCT ticker, m.metric FROM w, (VALUES ('revenue'), ('eps')) m(metric)),
-j AS (SELECT e.ticker, e.metric, v0, p2, (v0 IS NULL OR p1 IS NULL OR v1 IS NULL OR p2 IS NULL) AS missing, coalesce(abs(p1 - v1) > abs(v1) * CASE WHEN e.metric = 'eps' THEN 0.02 ELSE 0.1 END, false) AS restated FROM e LEFT JOIN c ON c.ticker = e.ticker AND c.metric = e.metric)
-SELECT ticker, metric, CASE WHEN NOT missing AND NOT restated AND v0 >= 0 AND p2 > 0 THEN round(pow(v0 / p2, 0.5) - 1, 6) END AS cagr, CASE WHEN missing THEN 'chain of years is incomplete' WHEN restated THEN 'restated' END AS note FROM j""")
+c AS (SELECT ticker, metric, max(value) FILTER (source_period_end = DATE '2000-12-31' AND value_basis = 'current') AS v0, max(value) FILTER (source_period_end = DATE '1999-12-31' AND value_basis = 'current') AS v1, max(value) FILTER (source_period_end = DATE '1999-12-31' AND value_basis = 'comparative') AS p2 FROM h GROUP BY ALL),
+e AS (SELECT DISTINCT ticker, m.metric FROM w, (VALUES ('revenue'), ('eps')) m(metric)), l AS (SELECT ticker, metric, prev FROM f WHERE fy = 2000 AND confidence >= 0.8),
+j AS (SELECT e.ticker, e.metric, v0, p2, CASE WHEN l.ticker IS NULL THEN 'no value in the latest annual report' WHEN v0 IS NULL OR v1 IS NULL OR p2 IS NULL THEN 'chain of years is incomplete' WHEN prev IS NULL OR v1 = 0 THEN 'no comparative to check the basis by'
+  WHEN abs(prev - v1) > abs(v1) * CASE WHEN e.metric = 'eps' THEN 0.02 ELSE 0.1 END THEN 'restated from ' || format('{{:,.2f}}', v1) || ' to ' || format('{{:,.2f}}', prev) END AS why
+ FROM e LEFT JOIN c ON c.ticker = e.ticker AND c.metric = e.metric LEFT JOIN l ON l.ticker = e.ticker AND l.metric = e.metric)
+SELECT ticker, metric, CASE WHEN why IS NULL AND v0 >= 0 AND p2 > 0 THEN round(pow(v0 / p2, 0.5) - 1, 6) END AS cagr, coalesce(why, CASE WHEN NOT (v0 >= 0 AND p2 > 0) THEN 'undefined: the start isn''t positive or the end is negative' END) AS note FROM j""")
 def cagr_3y_chain(spark, sf):
     sums = A.period_sums(spark, sf)
-    tickers = A.annual(spark, sf, sums).select("ticker").distinct()
-    ends = tickers.select("ticker", F.explode(F.array(F.lit("revenue"), F.lit("eps"))).alias("metric"), F.lit("2000-12-31").cast("date").alias("end"))
-    return r6(H.chained_cagr(_history(spark, sf, sums=sums), ends))
+    w = A.with_previous(A.annual(spark, sf, sums))
+    latest = w.where((C("fy") == A.LAST_FY) & (C("confidence") >= 0.8))
+    both = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), C(f"{m}_prev").alias("previous")) for m in ("revenue", "eps")])).alias("x")
+    facts = latest.select("ticker", both).select("ticker", "x.metric", F.lit(True).alias("found"), "x.previous")
+    ends = w.select("ticker").distinct().select("ticker", F.explode(F.array(F.lit("revenue"), F.lit("eps"))).alias("metric"), F.lit("2000-12-31").cast("date").alias("end"), F.lit(12).alias("months"))
+    return r6(H.chained_cagr(_history(spark, sf, sums=sums), ends.join(facts, ["ticker", "metric"], "left")))
 
 
 @query(f"""WITH {_HIST},
@@ -224,8 +230,8 @@ def _daily(spark, sf):
     return e.groupBy(C("user_id").cast("string").alias("ticker"), C("ts").cast("date").alias("trading_date")).agg(F.sum(C("value").cast("decimal(18,6)")).cast("double").alias("share_volume"))
 
 
-def _flagged(spark, sf):
-    sums = A.period_sums(spark, sf)
+def _flagged(spark, sf, sums=None):
+    sums = A.period_sums(spark, sf) if sums is None else sums
     s = _screened(spark, sf, sums)
     lq = L.summaries(_daily(spark, sf), 28).select(C("ticker").alias("t4"), "average_volume", "liquidity_days")
     fell = H.consecutive_decline(_history(spark, sf, sums=sums))
@@ -274,6 +280,44 @@ def missing_fields_per_issuer(spark, sf):
     return SM.missing_fields(_screened(spark, sf), ["net_profit_attributable", "ordinary_equity", "cash", "pe"])
 
 
+def _ways_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    inputs = ", ".join(f"({quoted(r)}, {k}, {quoted(role)}, {quoted(kind)}, [{', '.join(map(quoted, ms))}]::VARCHAR[])" for r, ins in PV.RATIO_INPUTS.items() for k, (role, kind, ms) in enumerate(ins))
+    raised = ", ".join(f"({quoted(f)}, {quoted(role)}, {quoted(kind)}, {quoted(m)})" for f, ins in PV.FLAG_INPUTS.items() for role, kind, m in ins)
+    return f"""fa AS MATERIALIZED (SELECT ticker, metric, ticker || '/2000/' || metric AS id FROM (UNPIVOT (SELECT ticker, {', '.join(A.FACTS)} FROM w WHERE fy = 2000) ON {', '.join(A.FACTS)} INTO NAME metric VALUE value)),
+bs2 AS MATERIALIZED (SELECT ticker AS bt, income_basis AS ib, cash_basis AS cb FROM fg), rt AS MATERIALIZED (UNPIVOT (SELECT ticker, {', '.join(S.RATIOS)} FROM fg) ON {', '.join(S.RATIOS)} INTO NAME ratio VALUE value),
+inp(r, k, role, kind, ms) AS (VALUES {inputs}), fin(f, role, kind, m) AS (VALUES {raised}),
+ch AS (SELECT rt.ticker, ratio, k, role, kind, ms, ib, cb, arg_min(fa.id, list_position(ms, fa.metric)) AS id FROM rt JOIN inp ON r = ratio JOIN bs2 ON bt = rt.ticker LEFT JOIN fa ON fa.ticker = rt.ticker AND list_contains(ms, fa.metric) GROUP BY ALL),
+ed AS MATERIALIZED (SELECT DISTINCT * FROM (
+ SELECT 'ratio:' || ticker || ':' || ratio AS parent, CASE WHEN kind = 'market' THEN 'market:' || ticker || ':price' WHEN (kind = 'income' AND ib = 'ttm') OR (kind = 'cash' AND cb = 'ttm') THEN 'trailing:' || ticker || ':' || ms[1] ELSE id END AS child, role FROM ch
+ UNION ALL SELECT 'trailing:' || ticker || ':' || metric, ticker || '/2000/' || metric, 'year' FROM tr UNION ALL SELECT 'trailing:' || ticker || ':' || metric, ticker || '/2001H1/' || metric, x.role FROM tr, (VALUES ('year to date'), ('year to date before')) x(role)
+ UNION ALL SELECT 'flag:' || ticker || ':' || f, CASE WHEN kind = 'ratio' THEN 'ratio:' || ticker || ':' || m WHEN (kind = 'income' AND ib = 'ttm') OR (kind = 'cash' AND cb = 'ttm') THEN 'trailing:' || ticker || ':' || m ELSE ticker || '/2000/' || m END, role
+  FROM (SELECT ticker, unnest(string_split(flags, '; ')) AS flag FROM fg) JOIN fin ON f = flag JOIN bs2 ON bt = ticker) WHERE child IS NOT NULL),
+reach AS (SELECT parent AS node, child AS source, role AS path, 1 AS depth FROM ed UNION ALL SELECT node, child, path || ' / ' || role, depth + 1 FROM reach JOIN ed ON parent = source),
+ends AS (SELECT node, source, path, CAST(depth AS INT) AS depth FROM reach WHERE source NOT IN (SELECT parent FROM ed))"""
+
+
+def _ways(spark, sf):
+    """All ways from flags and ratios to facts."""
+    sums = A.period_sums(spark, sf)
+    s = _flagged(spark, sf, sums)
+    a = A.annual(spark, sf, sums).where(C("fy") == A.LAST_FY)
+    held = A.long_facts(a).select("ticker", "metric", F.concat_ws("/", "ticker", F.lit("2000"), "metric").alias("fact_id"))
+    trailing = A.interim(spark, sf, sums).select("ticker", "metric", F.concat_ws("/", "ticker", F.lit("2001H1"), "metric").alias("fact_id"))
+    edges = PV.ratio_edges(s, held).unionByName(PV.flag_edges(FL.flag_records(s), s, held)).unionByName(PV.trailing_edges(_trailing(spark, sf, sums)[2], held, trailing))
+    return PV.closure(edges)
+
+
+@query(f"WITH RECURSIVE {_FLAGGED}, {_ways_sql()} SELECT node, source, path, depth FROM ends")
+def provenance_ways(spark, sf):
+    return _ways(spark, sf)
+
+
+@query(f"WITH RECURSIVE {_FLAGGED}, {_ways_sql()} SELECT split_part(node, ':', 2) AS ticker, split_part(node, ':', 3) AS name, string_agg(DISTINCT source, '; ' ORDER BY source) AS fact_ids FROM ends WHERE node LIKE 'ratio:%' AND source NOT LIKE 'market:%' GROUP BY ALL")
+def ratio_source_facts(spark, sf):
+    return PV.sources_of(_ways(spark, sf)).select("ticker", "name", F.concat_ws("; ", "fact_ids").alias("fact_ids"))
+
+
 _CORE = ("revenue", "net_profit", "eps", "total_equity", "operating_cash_flow", "cash")
 
 
@@ -540,7 +584,38 @@ SELECT ticker AS doc_id, metric, 'low_confidence' AS rule FROM al UNION ALL SELE
 {' '.join(f"UNION ALL SELECT ticker, '{m}', '{r}' FROM v7 WHERE {c}" for r, c, of in _ISSUES for m in of)}""")
 def validation_issues_long(spark, sf):
     w, rows = _fact_rows(spark, sf)
-    return V.validate_facts(rows, w.select(C("ticker").alias("doc_id"), "market_shares", F.lit(True).alias("reconciled")))[1]
+    return V.validate_facts(rows, w.select(C("ticker").alias("doc_id"), "market_shares", F.lit(True).alias("reconciled")))[1].select("doc_id", "metric", "rule")
+
+
+_FIG = lambda x, digits=2: f"format('{{:,.{digits}f}}', {x})"
+_SAID = f"""said AS (
+ SELECT ticker, 'x' AS m, 0 AS k, '' AS rule, '' AS kind, '' AS t FROM v7 WHERE false
+ UNION ALL SELECT ticker, m, 1, 'accounting_equation', 'warn', 'total assets differ from liabilities and equity by ' || {_FIG('abs(a - li - e)')} || ', more than 5%' FROM v7, (VALUES ('total_assets'), ('total_liabilities'), ('total_equity')) x(m) WHERE eq
+ UNION ALL SELECT ticker, m, 2, 'profit_revenue_scale', 'warn', 'net profit is more than twice revenue in size' FROM v7, (VALUES ('revenue'), ('net_profit')) x(m) WHERE scale
+ UNION ALL SELECT ticker, 'eps', 3, 'eps_profit_sign', 'demote', 'EPS ' || {_FIG('eps')} || ' and profit ' || {_FIG('np')} || ' differ in sign' FROM v7 WHERE sgn
+ UNION ALL SELECT ticker, 'eps', 3, 'eps_identity', 'demote', 'EPS ' || {_FIG('eps')} || ' is ' || {_FIG('abs(eps / (np / ms))')} || ' times the profit for each share that the market counts (' || {_FIG('np / ms')} || ')' FROM v7 WHERE eid
+ UNION ALL SELECT ticker, 'ordinary_shares_outstanding', 4, NULL, 'note', 'count agrees with ' || CASE WHEN near THEN 'profit / EPS' ELSE 'market value / price' END FROM (SELECT *, coalesce(sound AND np / eps > 0 AND abs(sh - np / eps) <= abs(np / eps) * 0.25::DOUBLE, false) AS near FROM v7) WHERE ok
+ UNION ALL SELECT ticker, 'ordinary_shares_outstanding', 4, NULL, 'rescale', 'count was in units of ' || {_FIG('f', 0)} || ': scaled it is within 5% of ' || CASE WHEN near THEN 'profit / EPS' ELSE 'market value / price' END FROM (SELECT *, coalesce(sound AND np / eps > 0 AND abs(sh * f - np / eps) <= abs(np / eps) * 0.05::DOUBLE, false) AS near FROM v7) WHERE f IS NOT NULL
+ UNION ALL SELECT ticker, 'ordinary_shares_outstanding', 4, 'share_count_identity', 'demote', 'count ' || {_FIG('sh', 0)} || ' agrees with none of ' || concat_ws('; ', CASE WHEN sound AND np / eps > 0 THEN 'profit / EPS = ' || {_FIG('np / eps', 0)} END, 'market value / price = ' || {_FIG('ms', 0)}) FROM v7 WHERE cnt
+ UNION ALL SELECT ticker, 'bvps', 5, 'bvps_identity', CASE WHEN printed THEN 'note' ELSE 'demote' END, 'book value per share ' || {_FIG('bvps')} || ' differs by more than 15% from equity / shares (' || {_FIG('ib')} || '); ' || CASE WHEN printed THEN 'the one on the statement stands' ELSE 'the calculated one is used' END FROM v7 WHERE bad_bv
+ UNION ALL SELECT ticker, 'dps', 6, 'dps_range', 'demote', CASE WHEN dps < 0 THEN 'dividend per share is negative' ELSE 'dividend per share ' || {_FIG('dps')} || ' is over five times EPS ' || {_FIG('eps')} END FROM v7 WHERE bad_dps)"""
+_FACTS = {"revenue": "revenue", "net_profit": "np", "eps": "eps", "dps": "dps", "total_assets": "a", "total_liabilities": "li", "total_equity": "e", "ordinary_equity": "oe", "bvps": "bvps", "ordinary_shares_outstanding": "sh", "cash": "cash"}
+
+
+@query(f"""WITH {_VAL.replace('revenue, total_assets AS a', 'revenue, cash, total_assets AS a')}, {_SAID},
+fx AS (SELECT * FROM (UNPIVOT (SELECT ticker, c, coalesce(f, 1) AS f, {', '.join(f'{x} AS {m}' if x != m else m for m, x in _FACTS.items())} FROM v7) ON {', '.join(_FACTS)} INTO NAME metric VALUE value)),
+low AS (SELECT ticker, metric, c, f, value, CASE WHEN c < 0.8 THEN 'read with a confidence of ' || {_FIG('c')} || ', below 0.80' END AS low FROM fx),
+al AS (SELECT l.ticker, l.metric, any_value(c) AS c, any_value(value) AS value, any_value(l.f) AS f, any_value(low) AS low, string_agg(t, '; ' ORDER BY k) AS notes, coalesce(bool_or(kind IN ('warn', 'demote')), false) AS bad, coalesce(bool_or(kind = 'demote'), false) AS capped,
+ coalesce(sum(CASE rule WHEN 'accounting_equation' THEN 0.15::DOUBLE WHEN 'profit_revenue_scale' THEN 0.12::DOUBLE END), 0) AS less, coalesce(bool_or(kind = 'rescale'), false) AS scaled FROM low l LEFT JOIN said ON said.ticker = l.ticker AND said.m = l.metric GROUP BY ALL)
+SELECT ticker AS doc_id, metric, 2 AS ord, round(CASE WHEN scaled THEN value * f ELSE value END, 6) AS value, round(CASE WHEN capped THEN least(c, 0.6::DOUBLE) ELSE greatest(0, c - less) END, 6) AS confidence, CASE WHEN low IS NOT NULL OR bad THEN 'review' ELSE 'passed' END AS validation_status, concat_ws('; ', low, notes) AS validation_notes,
+ CASE WHEN scaled THEN f ELSE 1.0::DOUBLE END AS multiplier, CASE WHEN scaled THEN 'shares x ' || {_FIG('f', 0)} || ' (inferred)' ELSE 'as printed' END AS original_unit FROM al
+UNION ALL SELECT ticker, metric, 1, round(value * 3, 6), 0.3::DOUBLE, 'review', 'read with a confidence of 0.30, below 0.80', 1.0::DOUBLE, 'as printed' FROM fx""")
+def validation_state_fold(spark, sf):
+    """Every fact after its events: status, notes with figures, confidence, value, multiplier and unit."""
+    w, rows = _fact_rows(spark, sf)
+    facts = rows.withColumns({"multiplier": F.lit(1.0), "original_unit": F.lit("as printed")})
+    done = V.validate_facts(facts, w.select(C("ticker").alias("doc_id"), "market_shares", F.lit(True).alias("reconciled")))[0]
+    return r6(done.select("doc_id", "metric", C("ord").cast("int").alias("ord"), "value", "confidence", "validation_status", "validation_notes", "multiplier", "original_unit"))
 
 
 @query("SELECT CAST(o_custkey AS VARCHAR) AS doc_id, o_orderpriority AS metric, o_orderkey AS ord FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey % 4 DESC, o_orderkey) AS r FROM orders) WHERE r = 1")
@@ -717,7 +792,8 @@ def heading_within_n_rows(spark, sf):
 
 @query(f"WITH {_LINES}, c AS (SELECT doc_id, list_sort(list(CAST(len(string_split(line, ' ')) AS INT))) AS c FROM ln GROUP BY doc_id) SELECT doc_id, c[len(c) // 2 + 1] AS upper_median FROM c")
 def upper_median_of_counts(spark, sf):
-    return _lines(spark, sf).groupBy("doc_id").agg(X.upper_median(F.size(F.split("line", " "))).alias("upper_median"))
+    counts = _lines(spark, sf).select("doc_id", F.size(F.split("line", " ")).alias("k"))
+    return SL.exact_upper_medians(counts, ["doc_id"], "k").select("doc_id", C("median").alias("upper_median"))
 
 
 @query(f"WITH {_LINES}, f AS (SELECT *, regexp_matches(line, '(?i)license') AS hit FROM ln), a AS (SELECT *, bool_or(hit) OVER (PARTITION BY doc_id) AS has FROM f) SELECT doc_id, n, hit AND regexp_matches(line, '(?i)the') AS at_the_end FROM a WHERE hit OR NOT has")

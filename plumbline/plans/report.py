@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..operators import flags as FL
 from ..operators import history as H
 from ..operators import liquidity as L
 from ..operators import overlays as O
+from ..operators import provenance as PV
 from ..operators import ranking as RK
 from ..operators import screening as S
 from ..operators import summary as SM
@@ -35,7 +38,7 @@ def _with_market_shares(facts: DataFrame, companies: DataFrame, latest: DataFram
 def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapshots: DataFrame, corrections: DataFrame | None = None, settings: dict | None = None, as_of: str | None = None, warnings: DataFrame | None = None) -> dict[str, DataFrame]:
     """companies(ticker, name, industry_group, price, market_cap), documents and facts as in schemas (facts of annual reports and of interim
     statements by doc_id), snapshots(trading_date, ticker, share_volume, ord), warnings(ticker, metric, rule, reason) of the parser -> screening, ratios,
-    history, raw, flags, review and summary. Identities fill what a document lacks, then its facts are validated, then the market's count of shares stands in
+    provenance, history, raw, flags, review and summary. Identities fill what a document lacks, then its facts are validated, then the market's count of shares stands in
     where none is usable. as_of (a date, today if none) decides whether an annual report is out of date."""
     flags = (settings or DEFAULTS)["flags"]
     facts = facts.withColumns({"value": C("value").cast("double"), "previous_value": S.previous_value(C("previous_value"), C("comparatives"), C("multiplier")).cast("double"), "confidence": C("confidence").cast("double")})
@@ -71,7 +74,8 @@ def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapsho
     screened = materialize(S.screening_metrics(S.with_flows(out)))
     h = materialize(H.history_rows(facts.join(documents.where("kind = 'annual_report'").select("doc_id", "period_end"), "doc_id"), HISTORY_METRICS))
     ends = RK.latest_annual(documents).select("ticker", F.explode(F.array(F.lit("revenue"), F.lit("eps"))).alias("metric"), C("period_end").alias("end"))
-    compound = materialize(H.chained_cagr(h, ends).select("ticker", "metric", "cagr", "note"))
+    of_fact = best.select("ticker", "metric", F.lit(True).alias("found"), C("previous_value").alias("previous"))
+    compound = materialize(H.chained_cagr(h, ends.join(of_fact, ["ticker", "metric"], "left").join(months, "ticker", "left")).select("ticker", "metric", "cagr", "note"))
     growth = compound.groupBy("ticker").agg(*[F.max(F.when(C("metric") == m, C("cagr"))).alias(f"{m}_cagr_3y") for m in ("revenue", "eps")])
     fell = H.consecutive_decline(h).groupBy("ticker").agg(*[F.bool_or((C("metric") == m) & C("declined")).alias(f"{m}_declined") for m in ("eps", "revenue")])
     volume = L.summaries(snapshots, flags["liquidity_lookback_days"])
@@ -90,14 +94,19 @@ def screen(companies: DataFrame, documents: DataFrame, facts: DataFrame, snapsho
     row = plain.withColumn("flags", X.joined(FL.company_flags(shown, **limits), C("relative_flags")))
     label = S.labels(row, "months", "period_end", "ttm_end", "income_basis")
     missing = S.missing_metrics(companies, list(REQUIRED_METRICS), best).withColumn("reason", F.lit("no candidate in the latest annual report"))
-    failed = issues.join(documents.select(C("doc_id").alias("_doc"), "ticker"), C("doc_id") == C("_doc")).select("ticker", "metric", "rule", C("doc_id").alias("document"), C("rule").alias("reason"))
+    failed = issues.join(documents.select(C("doc_id").alias("_doc"), "ticker"), C("doc_id") == C("_doc")).select("ticker", "metric", "rule", C("doc_id").alias("document"), "reason")
     bare = companies.join(documents.select("ticker").distinct(), "ticker", "left_anti").select("ticker", F.lit("document").alias("metric"), F.lit("no document of the issuer").alias("reason"))
     origins = {"validation": failed, "period_basis": unproven.withColumns({"rule": F.lit("unconfirmed_interim_period"), "reason": F.lit("interim columns of another length")}), "missing_metric": missing, "document_error": bare}
     review = materialize(SM.review_rows(({"parser_fallback": warnings} if warnings is not None else {}) | origins))
     row = materialize(row.withColumn("income_period", label))
+    raised = FL.flag_records(row)
+    grown = compound.where("cagr is not null").select("ticker", "metric").join(ends, ["ticker", "metric"]).withColumn("start_end", P.prior_year_end(C("end")))
+    of_years = RK.best_facts(facts.join(documents.where("kind = 'annual_report'").select("doc_id", "period_end"), "doc_id"), ("ticker", "metric", "period_end"))
+    made_of = [PV.ratio_edges(screened, best), PV.flag_edges(raised, screened, best), PV.trailing_edges(trailing, best, selected), PV.derived_edges(facts, V.selected_facts(facts)), PV.growth_edges(grown, of_years)]
+    ways = PV.closure(reduce(DataFrame.unionByName, made_of))
     return {
-        "screening": row, "ratios": S.lineage(screened, P.period_label(C("months"), C("period_end")), best.select("ticker", "metric", "fact_id", "page", "extraction_method"), compound), "history": H.deduplicate(h),
+        "screening": row, "ratios": S.lineage(screened, P.period_label(C("months"), C("period_end")), facts, compound, ways), "provenance": ways, "history": H.deduplicate(h),
         "raw": S.mark_used(facts, best, facts.join(trailing.select("ticker", "metric"), ["ticker", "metric"], "left_semi").join(interim_docs.select("doc_id"), "doc_id", "left_semi")),
-        "flags": FL.flag_records(row), "review": review,
+        "flags": raised, "review": review,
         "summary": SM.summary_lines("Screening summary", row, review.withColumn("ord", F.lit(0))),
     }

@@ -44,12 +44,25 @@ def _history(spark, rows):
     return spark.createDataFrame([("A", m, s, y, v, i) for i, (m, s, y, v) in enumerate(rows)], "ticker string, metric string, source_period_end date, financial_year_end date, value double, ord long")
 
 
-def test_chained_cagr_and_restatement(spark):
+def _chain(spark, metric, v0, v1, p2, previous, months=12, found=True):
     y = [D(2026, 3, 31), D(2025, 3, 31), D(2024, 3, 31)]
-    ends = spark.createDataFrame([("A", "revenue", y[0]), ("A", "eps", y[0])], "ticker string, metric string, end date")
-    h = _history(spark, [("revenue", y[0], y[0], 1000.0), ("revenue", y[0], y[1], 800.0), ("revenue", y[1], y[1], 800.0), ("revenue", y[1], y[2], 640.0), ("eps", y[0], y[0], 9.0), ("eps", y[0], y[1], 7.2), ("eps", y[1], y[1], 21.6), ("eps", y[1], y[2], 20.0)])
-    got = {r.metric: (r.cagr, r.note) for r in H.chained_cagr(h, ends).collect()}
-    assert got["revenue"] == (pytest.approx(0.25), None) and got["eps"] == (None, "restated")
+    h = _history(spark, [(metric, y[0], y[0], v0), (metric, y[1], y[1], v1), (metric, y[1], y[2], p2)]).where("value is not null")
+    ends = spark.createDataFrame([("A", metric, y[0], found, previous, months)], "ticker string, metric string, end date, found boolean, previous double, months int")
+    r = H.chained_cagr(h, ends).first()
+    return r.cagr, r.note
+
+
+def test_chained_cagr_and_restatement(spark):
+    assert _chain(spark, "revenue", 1000.0, 800.0, 640.0, 800.0) == (pytest.approx(0.25), None)
+    # the comparative is that of the selected fact, whether or not the history keeps it
+    assert _chain(spark, "eps", 9.0, 21.6, 20.0, 7.2) == (None, "restated from 21.60 to 7.20")
+    assert _chain(spark, "eps", 9.0, 7.3, 5.0, 7.2)[1] is None and _chain(spark, "eps", 9.0, 7.4, 5.0, 7.2)[1] is not None
+    # a year of zero gives no basis, though growth over it could be calculated
+    assert _chain(spark, "revenue", 100.0, 0.0, 81.0, 0.0) == (None, "no comparative to check the basis by") == _chain(spark, "revenue", 100.0, 90.0, 81.0, None)
+    assert _chain(spark, "revenue", 100.0, 90.0, -81.0, 90.0) == (None, "undefined: the start isn't positive or the end is negative") == _chain(spark, "revenue", -1.0, 90.0, 81.0, 90.0)
+    assert _chain(spark, "revenue", 100.0, 90.0, None, 90.0) == (None, "chain of years is incomplete")
+    assert _chain(spark, "revenue", 100.0, 90.0, 81.0, 90.0, months=15) == (None, "the latest period isn't of twelve months")
+    assert _chain(spark, "revenue", 100.0, 90.0, 81.0, None, found=None) == (None, "no value in the latest annual report")
 
 
 def test_declines(spark):
