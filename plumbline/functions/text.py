@@ -113,15 +113,18 @@ def excerpt_around(line: Column, pattern: str, before: int = 180, after: int = 2
 CELL = r"^(\(-?\d[\d,]*(\.\d+)?\)|-?\d[\d,]*(\.\d+)?)%?\*{0,2}$"
 
 
-def longest_run(tokens: Column) -> Column:
+def longest_run(tokens: Column, lone_nil: bool = True) -> Column:
     """struct(n, last): the length of the longest run of amounts and nil marks and the place of its last token, from 0; of equally long
-    runs the last. One pass over the array."""
-    start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("i"), F.lit(0).alias("n"), F.lit(-1).alias("last"))
+    runs the last. Without lone_nil, nil marks alone are a run only as two or more at the end. One pass over the array."""
+    start = F.struct(F.lit(0).alias("run"), F.lit(False).alias("some"), F.lit(0).alias("i"), F.lit(0).alias("n"), F.lit(-1).alias("last"))
 
     def step(acc: Column, t: Column) -> Column:
-        run = F.when(t.rlike(CELL) | t.isin("-", "–", "—", "nil", "Nil", "NIL"), acc["run"] + 1).otherwise(0)
-        better = (run > 0) & (run >= acc["n"])
-        return F.struct(run.alias("run"), (acc["i"] + 1).alias("i"), F.when(better, run).otherwise(acc["n"]).alias("n"), F.when(better, acc["i"]).otherwise(acc["last"]).alias("last"))
+        nil = t.isin("-", "–", "—", "nil", "Nil", "NIL")
+        run = F.when(t.rlike(CELL) | nil, acc["run"] + 1).otherwise(0)
+        some = F.when(run > 0, acc["some"] & (acc["run"] > 0) | ~nil).otherwise(False)
+        counts = F.lit(True) if lone_nil else some | ((run >= 2) & (acc["i"] == F.size(tokens) - 1))
+        better = (run > 0) & (run >= acc["n"]) & counts
+        return F.struct(run.alias("run"), some.alias("some"), (acc["i"] + 1).alias("i"), F.when(better, run).otherwise(acc["n"]).alias("n"), F.when(better, acc["i"]).otherwise(acc["last"]).alias("last"))
 
     return F.aggregate(tokens, start, step, lambda a: F.struct(a["n"].alias("n"), a["last"].alias("last")))
 

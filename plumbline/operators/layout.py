@@ -1,26 +1,24 @@
 """Facts from the page text of financial reports.
 
-Pages are read one by one into hits: rows whose label means something, each with the columns that the page's header gives for
-it. From there on all is built-in expressions over the hits of a document, which are brought together by one shuffle: pages are
-scored, statements located by windows over the page number, candidates ranked, and components and identities summed up.
+Pages become hits: rows whose label means something, each with the columns that the page's header gives for it (page_rows, phrases). A page's
+scores are one row a page, a document's statements one row a document; both are made by aggregation and windows over these few rows and
+joined to the hits. Then candidates are ranked, and components and identities summed up.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from . import labels as LB
-from .page_text import Page, share_counts, unit_of
+from ..session import stored
+from . import page_rows as PR
+from . import phrases as PH
 from .ranking import top
 
 C = F.col
-STATEMENTS = tuple(LB.STATEMENT_ROWS)
+STATEMENTS = PH.STATEMENTS
 #: The score that a page needs for a statement, and the pages around the income statement on which the others stand.
 LEAST_SCORE = {"income": 5, "position": 5, "cash_flow": 4}
 AROUND = {"position": (-4, 7), "cash_flow": (-2, 13)}
@@ -30,63 +28,37 @@ NO_UNIT, INHERITED, COMPONENTS, SCANNED, OUTSIDE, FLOW, FLOW_NO_UNIT, FROM_NOTE,
 SHARE_CONFIDENCE = ("0.90", "0.90", "0.78")
 LARGE = 10**9  # an amount that isn't in thousands, whatever the page says
 
-_AMOUNT = "decimal(28,6)"
-_FIELDS = [
-    ("doc_id", "string"), ("kind", "string"), ("page_no", "int"), ("place", "int"), ("tag", "string"), ("ord", "int"), ("label", "string"), ("line", "string"), ("current", _AMOUNT), ("previous", _AMOUNT),
-    ("sure", "decimal(3,2)"), ("first", _AMOUNT), ("second", _AMOUNT), ("scope", "string"), ("months", "int"), ("unit", "string"), ("multiplier", "long"), ("own_unit", "string"), ("own_multiplier", "long"),
-    ("lead_unit", "string"), ("lead_multiplier", "long"), ("titles", "array<string>"), ("many_columns", "boolean"), ("is_foreign", "boolean"), ("months_to", "int"), ("heading", "boolean"), ("highlights", "boolean"),
-    ("says", "array<string>"),
-]
-HITS = ", ".join(f"{n} {t}" for n, t in _FIELDS)
-_ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string()), _AMOUNT: pa.decimal128(28, 6), "decimal(3,2)": pa.decimal128(3, 2)}
-_SCHEMA = pa.schema([(n, _ARROW[t]) for n, t in _FIELDS])
-#: What a page without a located statement of financial position has to say for its rows to stand in.
-SAYS = ("current liabilities", "total liabilities", "current assets", "total assets", "retained earnings")
-
-
-def _hits_of(doc: str, kind: str, page_no: int, text: str | None, dictionary: LB.Labels) -> list[dict]:
-    page = Page.read(text, kind == "interim_statement")
-    whole, unit, lead = "\n".join(page.lines).lower(), page.unit or (None, None), unit_of(page.lead) or (None, None)
-    of_page = {
-        "doc_id": doc, "kind": kind, "page_no": page_no, "scope": page.header.scope, "months": page.header.months, "unit": unit[0], "multiplier": unit[1], "lead_unit": lead[0], "lead_multiplier": lead[1],
-        "titles": sorted(page.titles), "many_columns": page.many_columns, "is_foreign": page.header.foreign, "months_to": page.months_to, "heading": any(h in whole for h in LB.HEADINGS),
-        "highlights": LB.HIGHLIGHTS in whole, "says": [s for s in SAYS if s in whole],
-    }
-    out = [of_page | {"tag": "page", "ord": 0, "place": -1}]
-    for row in page.rows:
-        there = [v for v in row.values if v is not None]
-        current, previous, sure = page.pair(row)
-        own = unit_of(row.line) or (None, None)
-        for tag, order in dictionary.tags(row.label):
-            if row.cells and tag in ("attribution", "other_attribution", "per_share_heading") or not row.cells and tag not in ("attribution", "other_attribution", "per_share_heading"):
-                continue
-            if tag.startswith("row:") and not (there and len(row.cells) >= 2):
-                continue
-            out.append(of_page | {"tag": tag, "ord": order, "place": row.place, "label": row.label, "line": row.line, "current": current, "previous": previous, "sure": sure, "first": there[0] if there else None, "second": there[1] if len(there) > 1 else None, "own_unit": own[0], "own_multiplier": own[1]})
-    for rank, place, count, multiplier, said in share_counts(page.lines):
-        out.append(of_page | {"tag": "shares", "ord": rank, "place": place, "label": said, "line": said, "first": count, "own_multiplier": multiplier})
-    return out
-
-
-def page_hits(pages: DataFrame, documents: DataFrame) -> DataFrame:
-    """pages(doc_id, page_no, text) and documents(doc_id, kind) -> one row for each page and for each meaning of a row's label."""
-    exact = Decimal("0.000001")
-
-    def each(batches):
-        dictionary = LB.all_labels()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                rows = [hit for page in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True) for hit in _hits_of(*page, dictionary)]
-                for r in rows:
-                    for name in ("current", "previous", "first", "second"):
-                        value = r.get(name)
-                        r[name] = None if value is None or abs(value) >= 10**21 else value.quantize(exact)
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+_AMOUNT = PR.AMOUNT
+#: What hits carry of their page.
+OF_PAGE = ["doc_id", "kind", "page_no", "scope", "months", "unit", "multiplier", "lead_unit", "lead_multiplier", "is_foreign", "months_to", "heading", "highlights", "says", "titles"]
+_HEADER = ["years", "starts", "falling", "change", "scopes", "block", "counts"]
+_HEADS = ("attribution", "other_attribution", "per_share_heading")  # rows that are headings, and so have no amounts
+
 
+def read_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:
+    """pages(doc_id, page_no, text) and documents(doc_id, kind) -> page_rows.with_pages()'s rows, stored: folding and cutting the text is what costs."""
     kinds = documents.select(C("doc_id").alias("_doc"), "kind")
     rows = pages.join(kinds, pages.doc_id == kinds["_doc"]).select(C("doc_id").cast("string").alias("doc_id"), "kind", C("page_no").cast("int").alias("page_no"), C("text").cast("string").alias("text"))
-    return rows.mapInArrow(each, HITS)
+    return stored(PR.with_pages(rows))
+
+
+def page_hits(read: DataFrame) -> DataFrame:
+    """read_pages()'s rows -> one row for each page (tag page, with many_columns) and for each meaning of a row's label."""
+    rows = PR.logical_rows(read, [*OF_PAGE, *_HEADER]).withColumn("values", F.transform("cells", PR.amount))
+    there = F.filter("values", lambda v: v.isNotNull())
+    own = X.detect_unit(C("line"))
+    rows = rows.withColumns({"pair": PR.column_pair(*[C(c) for c in ("values", "years", "starts", "falling", "change", "scopes", "block", "counts")]), "there": there, "n": F.size("cells"), "own": own})
+    facts = {"current": C("pair.current"), "previous": C("pair.previous"), "sure": C("pair.sure"), "first": F.get("there", F.lit(0)), "second": F.get("there", F.lit(1)), "own_unit": C("own.unit"), "own_multiplier": C("own.multiplier").cast("long")}
+    shown = stored(rows.select(*OF_PAGE, "place", "label", "line", "n", *[v.alias(k) for k, v in facts.items()]))
+    tagged = PH.with_tags(shown, ["doc_id", "page_no", "place"], [c for c in shown.columns if c not in ("doc_id", "page_no", "place")])
+    heads = C("tag").isin(*_HEADS)
+    tagged = tagged.where(F.when(heads, C("n") == 0).when(C("tag").startswith("row:"), (C("n") >= 2) & C("first").isNotNull()).otherwise(C("n") > 0)).drop("n")
+    shares = PR.share_rows(read, OF_PAGE).select(*OF_PAGE, "place", C("said").alias("label"), C("said").alias("line"), F.lit("shares").alias("tag"), C("rank").alias("ord"), C("count").alias("first"), C("scale").alias("own_multiplier"))
+    widths = F.sort_array(F.collect_list(F.when((C("n") >= 2) & C("first").isNotNull(), C("n"))))
+    middle = shown.groupBy(C("doc_id").alias("_d"), C("page_no").alias("_p")).agg(widths.alias("_w")).select("_d", "_p", F.coalesce(F.get("_w", (F.size("_w") / 2).cast("int")) > 6, F.lit(False)).alias("many_columns"))
+    whole = read.select(*OF_PAGE).join(middle, (C("doc_id") == C("_d")) & (C("page_no") == C("_p")), "left").drop("_d", "_p")
+    whole = whole.withColumns({"tag": F.lit("page"), "ord": F.lit(0), "place": F.lit(-1), "many_columns": F.coalesce("many_columns", F.lit(False))})
+    return tagged.unionByName(shares, allowMissingColumns=True).unionByName(whole, allowMissingColumns=True)
 
 
 def _doc() -> W:
@@ -97,39 +69,37 @@ def _page() -> W:
     return W.partitionBy("doc_id", "page_no")
 
 
-def with_scores(hits: DataFrame) -> DataFrame:
-    """Adds score_<statement>: how many of the statement's rows the page has, with points for its title and against many columns and
-    foreign money; 0 below LEAST_SCORE."""
-    out = hits
-    for s in STATEMENTS:
-        rows = F.size(F.collect_set(F.when(C("tag").startswith(f"row:{s}:"), C("tag"))).over(_page()))
-        score = rows + F.when(F.array_contains("titles", s), TITLE_POINTS).otherwise(0) + F.when(C("many_columns"), MANY_COLUMNS_POINTS).otherwise(0) + F.when(C("is_foreign"), FOREIGN_POINTS).otherwise(0)
-        out = out.withColumn(f"score_{s}", F.when(score >= LEAST_SCORE[s], score).otherwise(0))
-    return out
-
-
-def with_statements(hits: DataFrame) -> DataFrame:
-    """Adds <statement>_page. Each page with an income statement is taken with the best pages for the others around it; the
-    document's statements are the group of the highest sum, of equal ones the first. Without any income statement, each of the
-    others is on its best page."""
-    out = with_scores(hits)
-    best = lambda s, w: F.max(F.when(C(f"score_{s}") > 0, F.struct(C(f"score_{s}").alias("score"), (-C("page_no")).alias("page")))).over(w)
-    for s, (lo, hi) in AROUND.items():
-        out = out.withColumns({f"_near_{s}": best(s, _doc().orderBy("page_no").rangeBetween(lo, hi)), f"_any_{s}": best(s, _doc())})
+def page_scores(hits: DataFrame) -> DataFrame:
+    """(doc_id, page_no, score_<statement>.., unit): one row a page. A score is how many of the statement's rows the page has, with points for its title and against
+    many columns and foreign money; 0 below LEAST_SCORE."""
+    own = F.max(F.when(C("tag") == "page", F.struct("titles", "many_columns", "is_foreign", "unit", "multiplier")))
+    rows = [F.count_distinct(F.when(C("tag").startswith(f"row:{s}:"), C("tag"))).alias(f"_rows_{s}") for s in STATEMENTS]
+    p = hits.groupBy("doc_id", "page_no").agg(own.alias("_own"), *rows)
+    score = lambda s: C(f"_rows_{s}") + F.when(F.array_contains("_own.titles", s), TITLE_POINTS).otherwise(0) + F.when(C("_own.many_columns"), MANY_COLUMNS_POINTS).otherwise(0) + F.when(C("_own.is_foreign"), FOREIGN_POINTS).otherwise(0)
+    scores = [F.when(score(s) >= LEAST_SCORE[s], score(s)).otherwise(0).alias(f"score_{s}") for s in STATEMENTS]
+    return p.select("doc_id", "page_no", *scores, F.when(C("_own.unit").isNotNull(), F.struct("_own.unit", "_own.multiplier")).alias("unit_of"))
+
+
+def statements_of(scores: DataFrame) -> DataFrame:
+    """(doc_id, <statement>_page.., known_unit, known_multiplier): one row a document. Each page with an income statement is taken with the best pages for the others
+    around it; the document's statements are the group of the highest sum, of equal ones the first. Without any income statement, each of the
+    others is on its best page. The known unit is the first that one of the statements has."""
+    best = lambda s: F.when(C(f"score_{s}") > 0, F.struct(C(f"score_{s}").alias("score"), (-C("page_no")).alias("page")))
+    out = scores.withColumns({f"_near_{s}": F.max(best(s)).over(_doc().orderBy("page_no").rangeBetween(lo, hi)) for s, (lo, hi) in AROUND.items()})
     total = C("score_income") + sum((F.coalesce(C(f"_near_{s}.score"), F.lit(0)) for s in AROUND), F.lit(0))
     group = F.when(C("score_income") > 0, F.struct(total.alias("total"), (-C("page_no")).alias("page"), *[C(f"_near_{s}.page").alias(s) for s in AROUND]))
-    out = out.withColumn("_group", F.max(group).over(_doc()))
-    out = out.withColumn("income_page", -C("_group.page"))
-    for s in AROUND:
-        out = out.withColumn(f"{s}_page", -F.when(C("_group").isNotNull(), C(f"_group.{s}")).otherwise(C(f"_any_{s}.page")))
-    return out.drop("_group", *[f"_{x}_{s}" for s in AROUND for x in ("near", "any")])
+    units = F.map_from_entries(F.collect_list(F.when(C("unit_of").isNotNull() & (C("score_income") + C("score_position") + C("score_cash_flow") > 0), F.struct("page_no", "unit_of"))))  # of pages with a score
+    d = out.groupBy("doc_id").agg(F.max(group).alias("_group"), *[F.max(best(s)).alias(f"_any_{s}") for s in AROUND], units.alias("_units"))
+    pages = {"income": -C("_group.page")} | {s: -F.when(C("_group").isNotNull(), C(f"_group.{s}")).otherwise(C(f"_any_{s}.page")) for s in AROUND}
+    known = F.coalesce(*[F.try_element_at("_units", pages[s]) for s in STATEMENTS])
+    return d.select("doc_id", *[v.alias(f"{s}_page") for s, v in pages.items()], known.alias("_known")).select("doc_id", *[f"{s}_page" for s in STATEMENTS], C("_known.unit").alias("known_unit"), C("_known.multiplier").alias("known_multiplier"))
 
 
 def statement_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """(doc_id, statement, page): where the reader finds the three statements."""
-    found = with_statements(page_hits(pages, documents).where("tag = 'page' or startswith(tag, 'row:')")).where("tag = 'page'")
+    found = statements_of(page_scores(page_hits(read_pages(pages, documents))))
     places = F.explode(F.array(*[F.struct(F.lit(s).alias("statement"), C(f"{s}_page").alias("page")) for s in STATEMENTS])).alias("found")
-    return found.groupBy("doc_id").agg(*[F.first(f"{s}_page").alias(f"{s}_page") for s in STATEMENTS]).select("doc_id", places).select("doc_id", "found.*").where("page is not null")
+    return found.select("doc_id", places).select("doc_id", "found.*").where("page is not null")
 
 
 def candidate_pages(pages: DataFrame) -> DataFrame:
@@ -157,13 +127,7 @@ def _tag_of(prefix: str) -> Column:
 
 
 def _per_share(metric: Column) -> Column:
-    return metric.isin(*LB.PER_SHARE)
-
-
-def _with_units(hits: DataFrame) -> DataFrame:
-    """Adds known_unit and known_multiplier: the first unit that one of the statements has."""
-    units = [F.max(F.when((C("page_no") == C(f"{s}_page")) & C("unit").isNotNull(), F.struct("unit", "multiplier"))).over(_doc()) for s in STATEMENTS]
-    return hits.withColumn("_known", F.coalesce(*units)).withColumns({"known_unit": C("_known.unit"), "known_multiplier": C("_known.multiplier")}).drop("_known")
+    return metric.isin(*PH.PER_SHARE)
 
 
 def _on_statements(hits: DataFrame) -> DataFrame:
@@ -173,7 +137,7 @@ def _on_statements(hits: DataFrame) -> DataFrame:
     heading = F.last(F.when(C("tag").isin("attribution", "other_attribution"), F.struct("tag", "place")), ignorenulls=True).over(by_place)
     per_share = F.last(F.when(C("tag") == "per_share_heading", C("place")), ignorenulls=True).over(by_place)
     rows = hits.withColumns({"_heading": heading["tag"], "_above": C("place") - per_share, "metric": _tag_of("metric:")})
-    statement = F.create_map(*[F.lit(x) for m, (s, _, _) in LB.METRICS.items() for x in (m, s)])
+    statement = F.create_map(*[F.lit(x) for m, s in PH.STATEMENT_OF.items() for x in (m, s)])
     on = F.coalesce(*[F.when((F.element_at(statement, C("metric")) == s) | C("metric").isNull() & F.lit(False), C(f"{s}_page")) for s in STATEMENTS])
     rows = rows.withColumn("metric", F.when((C("tag") == "owners") & (C("_heading") == "attribution"), "net_profit_attributable").when((C("tag") == "basic") & C("_above").between(1, 4), "eps").otherwise(C("metric")))
     income = C("metric").isin("net_profit_attributable", "eps") & C("tag").isin("owners", "basic")
@@ -190,7 +154,7 @@ def _components(rows: DataFrame, parts: Column, metric: str, of: list[str]) -> D
     """rows with the sums of the columns `of` over the parts' rows of a document, as one row a document."""
     sums = [F.sum(F.when(parts, F.coalesce(c, F.lit(0).cast(_AMOUNT)))).alias(c) for c in of]
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "label"))), lambda x: x["label"]), " + ").alias("label")
-    rest = ["unit", "multiplier", "known_unit", "known_multiplier", "lead_unit", "lead_multiplier", "page_no", "scope", "months", "score_income"]
+    rest = ["unit", "multiplier", "known_unit", "known_multiplier", "lead_unit", "lead_multiplier", "page_no", "scope", "months"]
     least = F.min(F.struct("place", *rest)).alias("_one")
     out = rows.where(parts).groupBy("doc_id").agg(*sums, F.min("sure").alias("sure"), F.max(F.abs("first")).alias("largest"), F.count_distinct("tag").alias("kinds"), joined, least)
     return out.select("doc_id", *of, "sure", "largest", "kinds", "label", *[C(f"_one.{c}").alias(c) for c in rest], F.lit(metric).alias("metric"))
@@ -214,9 +178,9 @@ def _elsewhere(hits: DataFrame) -> DataFrame:
     unit, multiplier = F.coalesce("own_unit", "lead_unit", "unit"), F.coalesce("own_multiplier", "lead_multiplier", "multiplier", F.lit(1))
     multiplier = F.when(share | (F.abs("first") >= LARGE), 1).otherwise(multiplier)
     sure = F.when(share | unit.isNotNull(), _lit(SCANNED)).otherwise(_lit(NO_UNIT))
-    statement = F.create_map(*[F.lit(x) for m, (s, _, _) in LB.METRICS.items() for x in (m, s)])
+    statement = F.create_map(*[F.lit(x) for m, s in PH.STATEMENT_OF.items() for x in (m, s)])
     located = F.coalesce(*[F.when((F.element_at(statement, C("metric")) == s) & C(f"{s}_page").isNotNull(), F.lit(True)) for s in STATEMENTS], F.lit(False))
-    sure = F.when(located & ~C("metric").isin(*LB.ELSEWHERE), F.least(sure, _lit(OUTSIDE))).otherwise(sure)
+    sure = F.when(located & ~C("metric").isin(*PH.ELSEWHERE), F.least(sure, _lit(OUTSIDE))).otherwise(sure)
     return _candidate(rows, C("metric"), C("first"), C("second"), F.when(share, "LKR").otherwise(F.coalesce(unit, F.lit("unknown"))), multiplier, sure, "label_scan", 2, [C("scan_order.last"), C("scan_order.page_no"), C("place"), C("ord")], scope=F.lit("unknown"))
 
 
@@ -292,9 +256,11 @@ def _with_identities(facts: DataFrame, minority: DataFrame) -> DataFrame:
 
 
 def extract_facts(pages: DataFrame, documents: DataFrame) -> DataFrame:
-    """pages(doc_id, page_no, text) and documents(doc_id, kind) -> one fact for each metric that a document's pages tell. Hits are kept while
-    the candidates are made from them: reading pages is what costs, and a lost part is read again."""
-    hits = _with_units(with_statements(page_hits(pages, documents).repartition("doc_id"))).persist()
+    """pages(doc_id, page_no, text) and documents(doc_id, kind) -> one fact for each metric that a document's pages tell. Hits are stored, as the
+    candidates of several kinds are made from them."""
+    hits = stored(page_hits(read_pages(pages, documents)).repartition("doc_id"))
+    located = stored(statements_of(page_scores(hits)).withColumnRenamed("doc_id", "_of"))
+    hits = hits.join(located, C("doc_id") == C("_of")).drop("_of")
     made = _on_statements(hits)
     for more in (_debt_on_statement(hits), _elsewhere(hits), _flows(hits), _stand_ins(hits), _shares(hits)):
         made = made.unionByName(more)

@@ -13,12 +13,15 @@ from ..operators import history as H
 from ..operators import layout as LY
 from ..operators import liquidity as L
 from ..operators import overlays as O
+from ..operators import page_rows as PR
+from ..operators import phrases as PH
 from ..operators import provenance as PV
 from ..operators import ranking as RK
 from ..operators import screening as S
 from ..operators import selection as SL
 from ..operators import summary as SM
 from ..operators import validation as V
+from ..session import stored
 from ..streaming import daily
 from . import facts as A
 
@@ -937,6 +940,10 @@ def _report_pages(spark, sf):
     return w.select("ticker", F.posexplode(pages).alias("page_no", "text")).select(C("ticker").alias("doc_id"), (C("page_no") + 1).alias("page_no"), "text")
 
 
+def _filings(spark, sf):
+    return A.table(spark, sf, "supplier").select(C("s_suppkey").cast("string").alias("doc_id"), F.lit("annual_report").alias("kind"))
+
+
 _SHOWN = {m: (page, share) for page, share, names in ((2, False, ("revenue", "net_profit", "net_profit_attributable")), (2, True, ("eps", "dps")), (3, False, ("cash", "total_assets", "ordinary_equity", "total_equity", "total_debt", "total_liabilities")), (4, False, ("operating_cash_flow", "capital_expenditure"))) for m in names}
 
 
@@ -949,13 +956,55 @@ UNION ALL SELECT ticker, 'ordinary_shares_outstanding', round(ordinary_shares_ou
 def layout_extract_facts(spark, sf):
     """All that the reader finds on pages that are written from known figures."""
     pages = _report_pages(spark, sf)
-    f = LY.extract_facts(pages, pages.select("doc_id").distinct().withColumn("kind", F.lit("annual_report")))
+    f = LY.extract_facts(pages, _filings(spark, sf))
     shown = {c: (C(c).cast("double") + 0.0).alias(c) for c in ("value", "previous_value", "confidence")}
     return f.select("doc_id", "metric", *shown.values(), "unit", "statement_scope", "page", "extraction_method")
 
 
+def _order_pages(spark, sf):
+    """Orders as interim pages, one for each: company columns ahead of the group's or behind them, rising or falling years, two periods or one, notes ahead of amounts,
+    rows of odd numbers of cells, and a label over two lines."""
+    o = A.table(spark, sf, "orders").withColumns({"k": C("o_orderkey"), "a": F.floor("o_totalprice").cast("long") + 1000})
+    number = lambda c: F.format_number(c, 0)
+    four = F.concat_ws(" ", *[number(C("a") + i) for i in (0, 10, 20, 30)])
+    years = F.when(C("k") % 3 == 0, "2029 2030 2029 2030").otherwise("2030 2029 2030 2029")
+    scopes = F.when(C("k") % 2 == 0, "Group Company").otherwise("Company Group")
+    text = F.concat_ws(
+        "\n", F.lit("STATEMENT OF PROFIT OR LOSS"), scopes, F.when(C("k") % 5 == 0, "Quarter ended 30 June").otherwise("Six months ended 30 June"), F.concat(F.lit("Note "), years), F.concat(F.lit("Revenue "), F.when(C("k") % 4 == 0, "12 ").otherwise(""), four),
+        F.lit("Net cash generated from operating"), F.concat(F.lit("activities "), four), F.concat(F.lit("Gross profit "), number(C("a")), F.lit(" (5) -")),
+    )
+    return o.select(C("k").cast("string").alias("doc_id"), F.lit("interim_statement").alias("kind"), F.lit(1).alias("page_no"), text.alias("text"))
+
+
+_FOUR = lambda i: f"format('{{:,}}', a + {i})"
+
+
+@query(f"""WITH o AS (SELECT o_orderkey AS k, CAST(floor(o_totalprice) AS BIGINT) + 1000 AS a FROM orders),
+r AS (SELECT k, a, 4 AS place, 'Revenue' AS label, [0, 10, 20, 30] AS v FROM o UNION ALL SELECT k, a, 5, 'Net cash generated from operating activities', [0, 10, 20, 30] FROM o UNION ALL SELECT k, a, 7, 'Gross profit', [0] FROM o)
+SELECT CAST(k AS VARCHAR) AS doc_id, CAST(place AS INT) AS place, label, CASE WHEN place = 7 THEN {_FOUR(0)} || ' (5) -' ELSE concat_ws(' ', {', '.join(_FOUR(i) for i in (0, 10, 20, 30))}) END AS cells,
+ CASE WHEN place = 7 THEN CASE WHEN k % 2 = 0 AND k % 3 = 0 THEN -5 WHEN k % 2 = 0 THEN a WHEN k % 3 = 0 THEN NULL ELSE -5 END WHEN k % 2 = 0 AND k % 3 = 0 THEN a + 10 WHEN k % 2 = 0 THEN a WHEN k % 3 = 0 THEN a + 30 ELSE a + 20 END AS current,
+ CASE WHEN place = 7 THEN CASE WHEN k % 2 = 0 AND k % 3 = 0 THEN a WHEN k % 2 = 0 THEN -5 WHEN k % 3 = 0 THEN -5 ELSE NULL END WHEN k % 2 = 0 AND k % 3 = 0 THEN a WHEN k % 2 = 0 THEN a + 10 WHEN k % 3 = 0 THEN a + 20 ELSE a + 30 END AS previous,
+ CASE WHEN place <> 7 THEN 0.9::DOUBLE WHEN k % 2 = 0 THEN 0.85::DOUBLE ELSE 0.6::DOUBLE END AS sure, CASE WHEN k % 5 = 0 THEN 3 ELSE 6 END AS months, CASE WHEN k % 2 = 0 THEN 'group,company' ELSE 'company,group' END AS scopes FROM r""")
+def page_logical_rows(spark, sf):
+    """Rows of pages: labels over two lines, amounts without notes, the wanted pair of columns, and what the header says of them."""
+    read = PR.with_pages(_order_pages(spark, sf))
+    # stored, as the reader does it: else a filter would be pushed through the rows' expressions, as copies of them
+    rows = stored(PR.logical_rows(read, ["doc_id", "page_no", "months", "years", "starts", "falling", "change", "scopes", "block"])).where((F.size("cells") > 0) & (C("place") > 3))
+    pair = PR.column_pair(F.transform("cells", PR.amount), *[C(c) for c in ("years", "starts", "falling", "change", "scopes", "block", "counts")])
+    rows = rows.withColumn("p", pair)
+    return rows.select("doc_id", "place", "label", F.array_join("cells", " ").alias("cells"), C("p.current").cast("bigint").alias("current"), C("p.previous").cast("bigint").alias("previous"), C("p.sure").cast("double").alias("sure"), "months", F.array_join("scopes", ",").alias("scopes"))
+
+
+@query(f"""WITH o AS (SELECT o_orderkey AS k, CAST(floor(o_totalprice) AS BIGINT) + 1000 AS a FROM orders), t AS (SELECT k, a, t.tag, t.place, t.ord FROM o, (VALUES ('metric:revenue', 4, 1), ('row:income:revenue', 4, 0), ('flow:revenue', 4, 0), ('metric:operating_cash_flow', 5, 0), ('row:cash_flow:operating', 5, 0), ('flow:operating_cash_flow', 5, 0), ('row:income:gross_profit', 7, 0)) t(tag, place, ord))
+SELECT CAST(k AS VARCHAR) AS doc_id, CAST(place AS INT) AS place, tag, CAST(ord AS INT) AS ord FROM t""")
+def label_phrases(spark, sf):
+    """The phrases that the labels of pages have, by a join with the table of phrases."""
+    rows = stored(PR.logical_rows(PR.with_pages(_order_pages(spark, sf)), ["doc_id", "page_no"])).where(F.size("cells") > 0)
+    return PH.with_tags(rows, ["doc_id", "place"], ["label"]).select("doc_id", "place", "tag", "ord")
+
+
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS doc_id, statement, CAST(page AS INT) AS page FROM supplier, (VALUES ('income', 2), ('position', 3), ('cash_flow', 4)) m(statement, page)")
 def statement_score_band_join(spark, sf):
     """The pages that the reader takes for the three statements, by score and place."""
     pages = _report_pages(spark, sf)
-    return LY.statement_pages(pages, pages.select("doc_id").distinct().withColumn("kind", F.lit("annual_report")))
+    return LY.statement_pages(pages, _filings(spark, sf))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,3 +40,10 @@ def materialize(df: DataFrame) -> DataFrame:
     """df, computed once and kept by a reliable checkpoint."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df, computed once and kept as a Parquet table in the checkpoint folder: for tables of which each reader needs only some columns."""
+    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
