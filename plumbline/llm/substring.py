@@ -14,10 +14,10 @@ words has an equal side. Overlaps of less than `window` shingles are no candidat
 documents and diagonal, and verified on the texts: a passage counts if at least `matches` of `window` consecutive shingles
 stand in the other text within `drift` words of the same place; with 42 of 47 shingles of five words that is a similarity of 0.8.
 
-Groups have no bound, memory has: occurrences that agree on 24 shingles on both sides are paired off within each chunk of an input
-partition, so that a passage of very many documents sends one row a chunk; a task that meets more than `HELD_ROWS` different
-surroundings of one hash passes the rest of them on, to be dealt by class instead; and a document that very many ask for is
-handed out by as many tasks as that takes.
+Groups have no bound, memory has: a task that meets more than `HELD_ROWS` different surroundings of one hash passes the rest of them on, to be
+sorted by class over all tasks instead; and a document that very many ask for is handed out by as many tasks as that takes. The
+partners of an occurrence follow from its hash, its surroundings and its place alone, so results don't depend on partitions, batches or
+these limits.
 
 Defined cases: null text counts as empty; texts shorter than window + shingle - 1 words have no passage; rows of a null id aren't
 compared; rows that repeat an id count as one document, which is never compared with itself, but each has its own passages; ties
@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ from .common import SLICE_BYTES, WORD, id_and_text, materialize, slices
 
 SHINGLE, WINDOW, MATCHES, DRIFT, HASHES = 5, 47, 42, 4, 4
 SIDES = (8, 24)
-CHUNK_ROWS, HELD_ROWS, ASKERS = 400_000, 500_000, 256
+HELD_ROWS, ASKERS = 500_000, 256
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], dtype=np.uint64)
 
@@ -152,7 +153,6 @@ def _sides(h: np.ndarray, c: np.ndarray, begin: np.ndarray, end: np.ndarray, siz
 
 
 _ROW = "key long, doc_id long, at long, s8 long, s24 long"
-_PAIRED = 0xFFFF  # in the place of the reach of a row that is a pair already
 
 
 def _runs(order: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,8 +175,8 @@ def _wide(reach: np.ndarray, window: int) -> np.ndarray:
 
 def windows(docs: DataFrame, window: int = WINDOW, hashes: int = HASHES) -> DataFrame:
     """(key, doc_id, at, s8, s24): each compact window, with its centre and reach as at = c * 65536 + left * 256 + right (no
-    further than a stretch of `window` about c goes), and its surroundings. Rows that agree with an earlier one of their chunk in
-    all 24 shingles of both sides are pairs instead: s8 is then the other document, s24 its centre and the reach of both."""
+    further than a stretch of `window` about c goes), and its surroundings. Within a text, the first place stands for all that agree with it
+    in 24 shingles on both sides."""
     reach = min(window - 1, 254)
 
     def of_texts(ids: pa.Array, texts: pa.Array) -> list[np.ndarray]:
@@ -197,34 +197,20 @@ def windows(docs: DataFrame, window: int = WINDOW, hashes: int = HASHES) -> Data
                 continue
             at = (c - begin[own]) << 16 | np.minimum(c - left, reach) << 8 | np.minimum(right - c, reach)
             sides = [_sides(h, c, begin[own], end[own], size).view(np.int64) for size in SIDES]
-            parts.append([(g[c] ^ np.uint64(k * 0x5851F42D4C957F2D % 2**64)).view(np.int64), doc[own], at, *sides])
-        return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else []
-
-    def paired_off(t: list[np.ndarray]) -> pa.RecordBatch:
-        key, doc, at, _, s24 = t
-        same = _mixed(s24.view(np.uint64), 4) ^ key.view(np.uint64)
-        order = np.lexsort((at, doc, same))
-        first, before = _runs(order, same)
-        again = (order != first) & (doc[order] == doc[before])  # within a text, the first place stands for all
-        reach = _overlap(at[order], at[first])
-        pair = (doc[order] != doc[first]) & ~again & _wide(reach, window)
-        out = [x[order] for x in t]
-        out[0] = np.where(pair, _mixed(out[1].view(np.uint64), 2).view(np.int64), out[0])
-        out[2] = np.where(pair, out[2] | _PAIRED, out[2])
-        out[3] = np.where(pair, doc[first], out[3])
-        out[4] = np.where(pair, at[first] >> 16 << 16 | reach, out[4])
-        return pa.RecordBatch.from_arrays([pa.array(x[~again]) for x in out], ["key", "doc_id", "at", "s8", "s24"])
+            parts.append([(g[c] ^ np.uint64(k * 0x5851F42D4C957F2D % 2**64)).view(np.int64), doc[own], at, *sides, own])
+        if not parts:
+            return []
+        *t, text = (np.concatenate(x) for x in zip(*parts, strict=True))
+        same = _mixed(t[4].view(np.uint64), 4) ^ t[0].view(np.uint64)
+        order = np.lexsort((t[2], text, same))
+        new = np.ones(len(order), bool)
+        new[1:] = (same[order][1:] != same[order][:-1]) | (text[order][1:] != text[order][:-1])
+        return [x[order[new]] for x in t]
 
     def each(batches):
-        chunk: list[list[np.ndarray]] = []
         for part in slices(batches):
             if made := of_texts(part.column(0), part.column(1)):
-                chunk.append(made)
-            if sum(len(x[0]) for x in chunk) >= CHUNK_ROWS:
-                yield paired_off([np.concatenate(x) for x in zip(*chunk, strict=True)])
-                chunk = []
-        if chunk:
-            yield paired_off([np.concatenate(x) for x in zip(*chunk, strict=True)])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["key", "doc_id", "at", "s8", "s24"])
 
     return id_and_text(docs).mapInArrow(each, _ROW)
 
@@ -261,24 +247,25 @@ def candidate_intervals(found: DataFrame, window: int = WINDOW, held_rows: int =
         for k, (m8, m24) in enumerate(CLASSES):
             yield _mixed(_mixed((t[3] & m8).view(np.uint64), 0) + _mixed((t[4] & m24).view(np.uint64) + np.uint64(k), 1), 4) ^ t[0].view(np.uint64)
 
-    def joined(t: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-        """The intervals of rows in order of key and document, and which rows later ones may be joined with."""
-        useful, pairs = np.zeros(len(t[0]), bool), []
-        useful[-1:] = True
-        for code in codes(t):
+    def joined(t: list[np.ndarray], fresh: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """The intervals of the fresh ones of rows in order of key and document, and which rows later ones of each class may be joined with."""
+        useful, pairs = np.zeros((len(CLASSES), len(t[0])), bool), []
+        for k, code in enumerate(codes(t)):
             order = np.argsort(code, kind="stable")
             first, before = _runs(order, code)
-            useful[first] = True
+            useful[k, first] = True
             last = np.ones(len(order), bool)
             last[:-1] = first[1:] != first[:-1]
-            useful[order[last]] = True
-            pairs += [laid_over(t, order, first), laid_over(t, order[before != first], before[before != first])]
+            useful[k, order[last]] = True
+            later = before != first
+            pairs += [laid_over(t, order[fresh[order]], first[fresh[order]]), laid_over(t, order[later & fresh[order]], before[later & fresh[order]])]
         return intervals(*(np.concatenate(x) for x in zip(*pairs, strict=True))), useful
 
-    def passed_on(t: list[np.ndarray]) -> list[np.ndarray]:
-        """Rows to be dealt by class: document, centre and reach, and the code of each class."""
-        n = len(t[0])
-        return [np.tile(t[1], len(CLASSES)), np.tile(t[2], len(CLASSES)), *[np.zeros(n * len(CLASSES), np.int64)] * 3, np.concatenate([c.view(np.int64) | 1 for c in codes(t)])]
+    def passed_on(t: list[np.ndarray], of: np.ndarray | None = None) -> list[np.ndarray]:
+        """Rows to be sorted by class: document, centre and reach, and the code of each class that `of` has the row for, if it is given."""
+        take = np.ones((len(CLASSES), len(t[0])), bool) if of is None else of
+        code = np.concatenate([c.view(np.int64) | 1 for c in codes(t)])[take.ravel()]
+        return [np.tile(t[1], len(CLASSES))[take.ravel()], np.tile(t[2], len(CLASSES))[take.ravel()], *[np.zeros(len(code), np.int64)] * 3, code]
 
     def each(batches):
         held: list[np.ndarray] | None = None  # of the last key, the rows that later ones may be joined with
@@ -287,11 +274,6 @@ def candidate_intervals(found: DataFrame, window: int = WINDOW, held_rows: int =
             if not batch.num_rows:
                 continue
             t, out = [x.to_numpy() for x in batch.columns], []
-            paired = t[2] & _PAIRED == _PAIRED
-            if paired.any():
-                p = [x[paired] for x in t]
-                out.append(intervals(p[1], p[2], p[3], p[4], p[4] & 0xFFFF))
-                t = [x[~paired] for x in t]
             if full is not None and len(t[0]):
                 over = t[0] == full
                 if over.any():
@@ -300,19 +282,23 @@ def candidate_intervals(found: DataFrame, window: int = WINDOW, held_rows: int =
                 if len(t[0]):
                     full = None
             if len(t[0]):
+                fresh = np.ones(len(t[0]), bool)
                 if held is not None and held[0][0] == t[0][0]:
+                    fresh = np.concatenate((np.zeros(len(held[0]), bool), fresh))
                     t = [np.concatenate((x, y)) for x, y in zip(held, t, strict=True)]
                 again = np.flatnonzero(t[0][1:] == t[0][:-1])
                 several = np.zeros(len(t[0]), bool)
                 several[again], several[again + 1] = True, True
                 several[t[0] == t[0][-1]] = True  # the last key may go on
                 t = [x[several] for x in t]
-                made, useful = joined(t)
+                made, useful = joined(t, fresh[several])
                 out.append(made)
-                keep = useful & (t[0] == t[0][-1])
+                useful &= t[0] == t[0][-1]
+                keep = useful.any(axis=0)
+                keep[-1:] = True
                 held = [x[keep] for x in t]
                 if len(held[0]) > held_rows:
-                    out.append(passed_on(held))
+                    out.append(passed_on(held, useful[:, keep]))
                     held, full = None, int(t[0][-1])
             for made in out:
                 if len(made[0]):
@@ -320,18 +306,54 @@ def candidate_intervals(found: DataFrame, window: int = WINDOW, held_rows: int =
 
     rows = found.repartition("key").sortWithinPartitions("key", "doc_id", "at")
     made = materialize(rows.mapInArrow(each, "a long, b long, diag long, lo long, hi long, code long"))
-    return _by_class(made, window).unionByName(made.where("code = 0").drop("code")).groupBy("a", "b", "diag").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    intervals_of = made.where("code = 0").drop("code")
+    if not made.where("code <> 0").isEmpty():
+        intervals_of = intervals_of.unionByName(_by_class(made, window))
+    return intervals_of.groupBy("a", "b", "diag").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
 def _by_class(made: DataFrame, window: int) -> DataFrame:
-    """Intervals of the rows that were passed on, each with the first of its class; b holds their centre and reach."""
+    """Intervals of the rows that were passed on, each with the first of its class and with the one before it; a holds their document, b their centre and
+    reach. They are sorted by range, so that a class lies in as many tasks as it takes; what a task has to know of the classes that begin ahead
+    of it is one row for each task."""
     rows = made.where("code <> 0").select("code", F.col("a").alias("doc"), F.col("b").alias("at"))
-    firsts = rows.groupBy("code").agg(F.min(F.struct("doc", "at")).alias("first")).select(F.col("code").alias("_code"), F.col("first.doc").alias("doc2"), F.col("first.at").alias("at2"))
-    both = rows.join(firsts, rows.code == firsts["_code"]).where("doc <> doc2")
-    part = lambda c, shift, mask: F.shiftright(c, shift).bitwiseAND(F.lit(mask))
-    left, right = F.least(part("at", 8, 255), part("at2", 8, 255)), F.least(part("at", 0, 255), part("at2", 0, 255))
-    c, diag = F.shiftright("at", 16), F.shiftright("at", 16) - F.shiftright("at2", 16)
-    return both.where(left + right + 1 >= window).select(F.col("doc").alias("a"), F.col("doc2").alias("b"), diag.alias("diag"), (c - left).alias("lo"), (c + right).alias("hi"))
+    sorted_rows = materialize(rows.repartitionByRange("code", "doc", "at").sortWithinPartitions("code", "doc", "at"))
+    numbered = sorted_rows.withColumn("part", F.spark_partition_id())
+    ends = numbered.groupBy("part").agg(F.min("code").alias("start"), F.max(F.struct("code", "doc", "at")).alias("last"))
+    tails = numbered.join(ends.withColumnRenamed("part", "_p"), (F.col("part") == F.col("_p")) & (F.col("code") == F.col("last.code")))
+    tails = tails.groupBy("part").agg(F.first("start").alias("start"), F.first("last").alias("last"), F.min(F.struct("doc", "at")).alias("first"))
+    ahead, open_code, first, last = {}, None, None, None
+    for r in sorted(tails.collect(), key=lambda r: r.part):  # a row for each task
+        if open_code == r.start:
+            ahead[r.part] = (open_code, first, last)
+        if open_code != r["last"].code:
+            open_code, first = r["last"].code, (r["first"].doc, r["first"].at)
+        last = (r["last"].doc, r["last"].at)
+
+    def each(batches):
+        held = ahead.get(TaskContext.get().partitionId())
+        code0, first0, last0 = held if held else (None, (0, 0), (0, 0))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code, doc, at = (batch.column(k).to_numpy() for k in range(3))
+            goes_on = code[0] == code0
+            if goes_on:  # as if they stood ahead
+                code, doc, at = (np.concatenate((x, y)) for x, y in (([code0] * 2, code), ([first0[0], last0[0]], doc), ([first0[1], last0[1]], at)))
+            order = np.arange(len(code))
+            first, before = _runs(order, code)
+            row, other = np.concatenate((order, order)), np.concatenate((first, before))
+            fresh = (row >= 2 * goes_on) & (doc[row] != doc[other])
+            row, other = row[fresh], other[fresh]
+            reach = _overlap(at[row], at[other])
+            wide = _wide(reach, window)
+            row, other, reach = row[wide], other[wide], reach[wide]
+            c = at[row] >> 16
+            start = int(np.flatnonzero(code == code[-1])[0])
+            code0, first0, last0 = code[-1], (doc[start], at[start]), (doc[-1], at[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[row], doc[other], c - (at[other] >> 16), c - (reach >> 8), c + (reach & 255))], ["a", "b", "diag", "lo", "hi"])
+
+    return sorted_rows.mapInArrow(each, "a long, b long, diag long, lo long, hi long")
 
 
 def _verified(ha: np.ndarray, hb: np.ndarray, diag: int, lo: int, b_start: int, window: int, matches: int, drift: int) -> list[tuple[int, int]]:

@@ -352,6 +352,31 @@ def test_surroundings_that_do_not_fit_in_a_task_are_dealt_by_class(spark):
     assert {a for a, _, _ in small} == {a for a, _, _ in want} and all(hi - lo + 1 >= 47 for lo, hi in small.values())
 
 
+def test_partners_do_not_depend_on_partitions_batches_or_limits(spark):
+    rng, rows = random.Random(17), []
+    for _ in range(25):
+        p = words(rng, 70)
+        rows += [" ".join(words(rng, rng.randint(0, 50)) + edited(rng, p, rng.sample(range(70), rng.randrange(3))) + words(rng, rng.randint(0, 50))) for _ in range(12)]
+    hot = words(rng, 60)
+    rows += [" ".join(words(rng, 20) + hot + words(rng, 20)) for _ in range(60)]
+    rng.shuffle(rows)
+    docs = docs_of(spark, list(enumerate(rows)))
+
+    def found(partitions, held_rows, batch):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            return sorted(tuple(r) for r in substring.candidate_intervals(substring.windows(docs.repartition(partitions)), held_rows=held_rows).collect())
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+
+    want = found(1, 500_000, "10000")
+    assert len(want) > 300
+    for partitions, held_rows, batch in ((13, 500_000, "10000"), (60, 500_000, "37"), (1, 20, "10000"), (13, 3, "10"), (4, 0, "64")):
+        assert found(partitions, held_rows, batch) == want
+    spans = [sorted(tuple(r) for r in substring.repeated_passages(docs.repartition(n)).collect()) for n in (1, 13)]
+    assert spans[0] == spans[1] and len(spans[0]) > 250
+
+
 def test_rows_that_repeat_an_id(spark):
     """Each row is cut by its own passages; of copies one row stays in the near-duplicate operators."""
     from plumbline.llm import near_copies
