@@ -9,7 +9,8 @@ other at c, overlap in at least `window` shingles.
 Windows meet by (function, hash). Pairs of such a group are never enumerated. An occurrence is laid over two others of each
 class of rows that have the same surroundings as it has: the first of the class (smallest document) and the one before it.
 Classes are made by the 8 or 24 shingles on the left, by those on the right, and by each combination of both, so that the
-partners share with an occurrence whatever it shares with anyone on that scale. An exact repetition or one with a few changed
+partners share with an occurrence whatever it shares with anyone on that scale; one before it that agrees on 24 shingles on both sides is left out, as
+the first of that class tells the same. An exact repetition or one with a few changed
 words has an equal side. Overlaps of less than `window` shingles are no candidates. The resulting intervals are joined by pair of
 documents and diagonal, and verified on the texts: a passage counts if at least `matches` of `window` consecutive shingles
 stand in the other text within `drift` words of the same place; with 42 of 47 shingles of five words that is a similarity of 0.8.
@@ -258,14 +259,15 @@ def candidate_intervals(found: DataFrame, window: int = WINDOW, held_rows: int =
             last[:-1] = first[1:] != first[:-1]
             useful[k, order[last]] = True
             later = before != first
-            pairs += [laid_over(t, order[fresh[order]], first[fresh[order]]), laid_over(t, order[later & fresh[order]], before[later & fresh[order]])]
+            later &= fresh[order] & (t[4][order] != t[4][before])  # one that agrees on 24 shingles on both sides adds nothing to the first
+            pairs += [laid_over(t, order[fresh[order]], first[fresh[order]]), laid_over(t, order[later], before[later])]
         return intervals(*(np.concatenate(x) for x in zip(*pairs, strict=True))), useful
 
     def passed_on(t: list[np.ndarray], of: np.ndarray | None = None) -> list[np.ndarray]:
-        """Rows to be sorted by class: document, centre and reach, and the code of each class that `of` has the row for, if it is given."""
+        """Rows to be sorted by class: document, centre and reach, surroundings, and the code of each class that `of` has the row for, if it is given."""
         take = np.ones((len(CLASSES), len(t[0])), bool) if of is None else of
         code = np.concatenate([c.view(np.int64) | 1 for c in codes(t)])[take.ravel()]
-        return [np.tile(t[1], len(CLASSES))[take.ravel()], np.tile(t[2], len(CLASSES))[take.ravel()], *[np.zeros(len(code), np.int64)] * 3, code]
+        return [*(np.tile(t[k], len(CLASSES))[take.ravel()] for k in (1, 2, 4)), *[np.zeros(len(code), np.int64)] * 2, code]
 
     def each(batches):
         held: list[np.ndarray] | None = None  # of the last key, the rows that later ones may be joined with
@@ -314,12 +316,12 @@ def candidate_intervals(found: DataFrame, window: int = WINDOW, held_rows: int =
 
 def _by_class(made: DataFrame, window: int) -> DataFrame:
     """Intervals of the rows that were passed on, each with the first of its class and with the one before it; a holds their document, b their centre and
-    reach. They are sorted by range, so that a class lies in as many tasks as it takes; what a task has to know of the classes that begin ahead
+    reach, diag their surroundings. They are sorted by range, so that a class lies in as many tasks as it takes; what a task has to know of the classes that begin ahead
     of it is one row for each task."""
-    rows = made.where("code <> 0").select("code", F.col("a").alias("doc"), F.col("b").alias("at"))
+    rows = made.where("code <> 0").select("code", F.col("a").alias("doc"), F.col("b").alias("at"), F.col("diag").alias("s24"))
     sorted_rows = materialize(rows.repartitionByRange("code", "doc", "at").sortWithinPartitions("code", "doc", "at"))
     numbered = sorted_rows.withColumn("part", F.spark_partition_id())
-    ends = numbered.groupBy("part").agg(F.min("code").alias("start"), F.max(F.struct("code", "doc", "at")).alias("last"))
+    ends = numbered.groupBy("part").agg(F.min("code").alias("start"), F.max(F.struct("code", "doc", "at", "s24")).alias("last"))
     tails = numbered.join(ends.withColumnRenamed("part", "_p"), (F.col("part") == F.col("_p")) & (F.col("code") == F.col("last.code")))
     tails = tails.groupBy("part").agg(F.first("start").alias("start"), F.first("last").alias("last"), F.min(F.struct("doc", "at")).alias("first"))
     ahead, open_code, first, last = {}, None, None, None
@@ -328,21 +330,22 @@ def _by_class(made: DataFrame, window: int) -> DataFrame:
             ahead[r.part] = (open_code, first, last)
         if open_code != r["last"].code:
             open_code, first = r["last"].code, (r["first"].doc, r["first"].at)
-        last = (r["last"].doc, r["last"].at)
+        last = (r["last"].doc, r["last"].at, r["last"].s24)
 
     def each(batches):
         held = ahead.get(TaskContext.get().partitionId())
-        code0, first0, last0 = held if held else (None, (0, 0), (0, 0))
+        code0, first0, last0 = held if held else (None, (0, 0), (0, 0, 0))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            code, doc, at = (batch.column(k).to_numpy() for k in range(3))
+            code, doc, at, s24 = (batch.column(k).to_numpy() for k in range(4))
             goes_on = code[0] == code0
             if goes_on:  # as if they stood ahead
-                code, doc, at = (np.concatenate((x, y)) for x, y in (([code0] * 2, code), ([first0[0], last0[0]], doc), ([first0[1], last0[1]], at)))
+                code, doc, at, s24 = (np.concatenate((x, y)) for x, y in (([code0] * 2, code), ([first0[0], last0[0]], doc), ([first0[1], last0[1]], at), ([last0[2]] * 2, s24)))
             order = np.arange(len(code))
             first, before = _runs(order, code)
-            row, other = np.concatenate((order, order)), np.concatenate((first, before))
+            later = s24[order] != s24[before]
+            row, other = np.concatenate((order, order[later])), np.concatenate((first, before[later]))
             fresh = (row >= 2 * goes_on) & (doc[row] != doc[other])
             row, other = row[fresh], other[fresh]
             reach = _overlap(at[row], at[other])
@@ -350,7 +353,7 @@ def _by_class(made: DataFrame, window: int) -> DataFrame:
             row, other, reach = row[wide], other[wide], reach[wide]
             c = at[row] >> 16
             start = int(np.flatnonzero(code == code[-1])[0])
-            code0, first0, last0 = code[-1], (doc[start], at[start]), (doc[-1], at[-1])
+            code0, first0, last0 = code[-1], (doc[start], at[start]), (doc[-1], at[-1], s24[-1])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[row], doc[other], c - (at[other] >> 16), c - (reach >> 8), c + (reach & 255))], ["a", "b", "diag", "lo", "hi"])
 
     return sorted_rows.mapInArrow(each, "a long, b long, diag long, lo long, hi long")
