@@ -34,14 +34,16 @@ def missing_fields(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def warning_groups(review: DataFrame, show: int = 3) -> DataFrame:
-    """(rule, n, tickers, reasons, more): issuers sorted; the first reasons in order of arrival, and how many more there are. Reasons are
-    counted in an aggregation of their own, so a rule's rows aren't held together. review needs `ord`."""
-    base = review.groupBy("rule", "reason", "ticker").agg(F.count("*").alias("k"), F.min("ord").alias("first"))  # one exchange, that both sides reuse
+    """(rule, n, tickers, reasons, more): issuers sorted; the first reasons in order of arrival, and how many more there are. A rule's reasons, which are as
+    many as its rows, are never held together; its issuers are, as the line names them. review needs `ord`."""
+    base = review.groupBy("rule", "reason", "ticker").agg(F.count("*").alias("k"), F.min("ord").alias("first"))  # one exchange, that all sides reuse
     reasons = base.groupBy("rule", "reason").agg(F.sum("k").alias("k"), F.min("first").alias("first"))
-    r = reasons.groupBy("rule").agg(F.sum("k").alias("n"), F.sort_array(F.collect_list(F.struct("first", "reason"))).alias("r"))
-    t = base.groupBy("rule").agg(F.concat_ws(", ", F.array_sort(F.collect_set("ticker"))).alias("tickers"))
-    shown = F.concat_ws(" | ", F.transform(F.slice("r", 1, show), lambda x: x["reason"]))
-    return r.join(t, "rule").select("rule", "n", "tickers", shown.alias("reasons"), F.greatest(F.size("r") - show, F.lit(0)).alias("more"))
+    # of a rule's reasons only the shown ones are brought together; the others are counted
+    r = reasons.groupBy("rule").agg(F.sum("k").alias("n"), F.count("*").alias("kinds"))
+    few = top(reasons, ["rule"], [C("first").asc(), C("reason").asc()], show)
+    few = few.groupBy("rule").agg(F.concat_ws(" | ", F.transform(F.sort_array(F.collect_list(F.struct("first", "reason"))), lambda x: x["reason"])).alias("reasons"))
+    t = base.select("rule", "ticker").distinct().groupBy("rule").agg(F.concat_ws(", ", F.array_sort(F.collect_list("ticker"))).alias("tickers"))
+    return r.join(t, "rule").join(few, "rule").select("rule", "n", "tickers", "reasons", F.greatest(C("kinds") - show, F.lit(0)).cast("int").alias("more"))
 
 
 def distinct_joined(column: str) -> Column:

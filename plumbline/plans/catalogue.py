@@ -396,13 +396,13 @@ def merge_documents_rank(spark, sf):
     return RK.merge_documents(d.where("ord % 2 = 1"), d.where("ord % 2 = 0")).select("ticker", "kind", "doc_id", "period_end")
 
 
-@query("""WITH a AS (SELECT o_custkey, max(CAST(o_orderdate AS DATE)) AS annual_end FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY ALL),
-i AS (SELECT o.o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d, annual_end, row_number() OVER (PARTITION BY o.o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey) AS k FROM orders o JOIN a ON a.o_custkey = o.o_custkey WHERE o_orderpriority LIKE '3%' AND CAST(o_orderdate AS DATE) > annual_end)
+@query("""WITH a AS (SELECT o_custkey, max(CAST(o_orderdate AS DATE)) AS annual_end FROM orders WHERE o_orderpriority < '3' GROUP BY ALL),
+i AS (SELECT o.o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d, annual_end, row_number() OVER (PARTITION BY o.o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey) AS k FROM orders o JOIN a ON a.o_custkey = o.o_custkey WHERE o_orderpriority >= '3' AND CAST(o_orderdate AS DATE) > annual_end)
 SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderkey AS VARCHAR) AS doc_id, d AS period_end, annual_end FROM i WHERE k = 1""")
 def interim_asof_join(spark, sf):
     o = A.table(spark, sf, "orders").select(C("o_custkey").cast("string").alias("ticker"), C("o_orderkey").cast("string").alias("doc_id"), C("o_orderdate").cast("date").alias("period_end"), F.substring("o_orderpriority", 1, 1).alias("p"), C("o_orderkey").alias("ord"))
-    a = o.where("p = '1'").groupBy("ticker").agg(F.max("period_end").alias("period_end"))
-    return S.newest_interim(a, o.where("p = '3'")).select("ticker", "doc_id", "period_end", "annual_end")
+    a = o.where("p < '3'").groupBy("ticker").agg(F.max("period_end").alias("period_end"))
+    return S.newest_interim(a, o.where("p >= '3'")).select("ticker", "doc_id", "period_end", "annual_end")
 
 
 @query("SELECT o_orderpriority AS doc, CAST(mult AS INT) AS mult, n FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY n DESC, mult DESC) AS r FROM (SELECT o_orderpriority, pow(10, o_orderkey % 3 * 3) AS mult, count(*) AS n FROM orders GROUP BY ALL)) WHERE r = 1")
@@ -481,9 +481,9 @@ def base_symbol_fanout(spark, sf):
     return O.fan_out(docs, companies).select("doc", "ticker")
 
 
-@query("SELECT e_id, ticker FROM (SELECT event_id AS e_id, 'supplier' || lpad(CAST(user_id % 20 AS VARCHAR), 3, '0') AS k FROM events WHERE event_type = 'purchase') e JOIN (SELECT max(s_suppkey) AS m, CAST(max(s_suppkey) AS VARCHAR) AS ticker, 'supplier' || lpad(CAST(s_suppkey % 10 AS VARCHAR), 3, '0') AS k FROM supplier GROUP BY s_suppkey % 10) s USING (k)")
+@query("SELECT e_id, ticker FROM (SELECT event_id AS e_id, 'supplier' || lpad(CAST(user_id % 20 AS VARCHAR), 3, '0') AS k FROM events) e JOIN (SELECT max(s_suppkey) AS m, CAST(max(s_suppkey) AS VARCHAR) AS ticker, 'supplier' || lpad(CAST(s_suppkey % 10 AS VARCHAR), 3, '0') AS k FROM supplier GROUP BY s_suppkey % 10) s USING (k)")
 def name_key_join(spark, sf):
-    e = A.table(spark, sf, "events").where("event_type = 'purchase'").select(C("event_id").alias("e_id"), F.concat(F.lit("Supplier#"), F.lpad((C("user_id") % 20).cast("string"), 3, "0")).alias("company"))
+    e = A.table(spark, sf, "events").select(C("event_id").alias("e_id"), F.concat(F.lit("Supplier#"), F.lpad((C("user_id") % 20).cast("string"), 3, "0")).alias("company"))
     s = A.table(spark, sf, "supplier").select(C("s_suppkey").cast("string").alias("ticker"), F.concat(F.lit("SUPPLIER "), F.lpad((C("s_suppkey") % 10).cast("string"), 3, "0")).alias("name"), C("s_suppkey").alias("ord"))
     return O.join_by_name(e, s).select("e_id", "ticker")
 
@@ -673,6 +673,14 @@ def liquidity_daily_upsert(spark, sf):
     return r6(L.upsert(e.where("ord % 2 = 0"), e.where("ord % 2 = 1")).select("ticker", "trading_date", "share_volume"))
 
 
+@query("""WITH d AS (SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS trading_date, arg_max(value, event_id) AS v FROM events GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY trading_date DESC) AS k FROM d)
+SELECT ticker, round(avg(v), 6) AS average_volume, round(median(v), 6) AS median_volume, count(*) AS liquidity_days, min(trading_date) AS first_date, max(trading_date) AS last_date FROM k WHERE k <= 20 GROUP BY ticker""")
+def liquidity_stream_latest20(spark, sf):
+    """The summary of the latest 20 days from state that is kept for each ticker of a stream."""
+    snapshots = lambda e: e.select(C("ts").cast("date").alias("trading_date"), C("user_id").cast("string").alias("ticker"), C("value").alias("share_volume"), C("event_id").alias("ord"))
+    return r6(daily.latest_days_available_now(spark, f"{sf}/events.parquet", snapshots))
+
+
 @query("WITH m AS (SELECT max(CAST(ts AS DATE)) AS trading_date FROM events), d AS (SELECT user_id, max(ts) AS last FROM events GROUP BY user_id) SELECT user_id AS ticker, trading_date, CAST(last AS DATE) AS last_date FROM d, m")
 def trading_date_and_liquidity_join(spark, sf):
     e = A.table(spark, sf, "events").withColumn("ms", F.unix_millis(C("ts").cast("timestamp")))
@@ -688,10 +696,10 @@ def liquidity_stream_daily(spark, sf):
 # ---------------------------------------------------------------- text
 
 
-@query("""WITH a AS (SELECT DISTINCT l_linenumber % 4 AS f, CAST(l_extendedprice AS DECIMAL(18,2)) AS e FROM lineitem) SELECT CAST(f AS INT) AS f, CAST(e AS DOUBLE) AS e,
+@query("""WITH a AS (SELECT l_linenumber % 4 AS f, CAST(l_extendedprice AS DECIMAL(18,2)) AS e FROM lineitem) SELECT CAST(f AS INT) AS f, CAST(e AS DOUBLE) AS e,
  CASE WHEN f = 0 THEN -CAST(e AS DOUBLE) WHEN f = 3 THEN NULL ELSE CAST(e AS DOUBLE) END AS value FROM a""")
 def parse_number_tokens(spark, sf):
-    a = A.table(spark, sf, "lineitem").select((C("l_linenumber") % 4).cast("int").alias("f"), C("l_extendedprice").cast("decimal(18,2)").alias("e")).distinct()
+    a = A.table(spark, sf, "lineitem").select((C("l_linenumber") % 4).cast("int").alias("f"), C("l_extendedprice").cast("decimal(18,2)").alias("e"))
     plain = C("e").cast("string")
     text = F.when(C("f") == 0, F.concat(F.lit("("), F.format_number("e", 2), F.lit(")"))).when(C("f") == 1, F.format_number("e", 2)).when(C("f") == 2, F.replace(plain, F.lit("."), F.lit(","))).otherwise("-")
     return a.select("f", C("e").cast("double").alias("e"), X.parse_number(text).cast("double").alias("value"))

@@ -7,6 +7,7 @@ import hashlib
 import json
 import urllib.parse
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
@@ -60,14 +61,18 @@ _SCHEMA = pa.schema([("doc_id", pa.string()), ("path", pa.string()), ("page_no",
 
 
 def cached_pages(spark: SparkSession, files: DataFrame, read: Callable, folder: str, settings: dict, version: int = 1) -> DataFrame:
-    """file_pages, kept by settings: only files whose content isn't there yet are read."""
+    """file_pages, kept by settings: only files whose content isn't there yet are read. Each run writes a folder of its own; where a run was repeated, or two ran at
+    once, a file's pages are those of the first by name, so none is doubled."""
     place = f"{folder}/{settings_key(settings, version)}"
-    spark.createDataFrame([], PAGES).write.mode("append").parquet(place)
-    known = spark.read.schema(PAGES).parquet(place).select(C("doc_id").alias("_known")).distinct()
+    spark.createDataFrame([], PAGES).write.mode("overwrite").parquet(f"{place}/run=-")
+    schema = f"{PAGES}, run string"
+    known = spark.read.schema(schema).parquet(place).select(C("doc_id").alias("_known")).distinct()
     new = files.dropDuplicates(["sha256"]).join(known, C("sha256") == C("_known"), "left_anti")
-    file_pages(new, read).write.mode("append").parquet(place)
-    held = spark.read.schema(PAGES).parquet(place)
-    return held.join(files.select(C("sha256").alias("_wanted")).distinct(), held.doc_id == C("_wanted"), "left_semi")
+    file_pages(new, read).write.parquet(f"{place}/run={uuid.uuid4().hex}")
+    held = spark.read.schema(schema).parquet(place)
+    first = held.groupBy(C("doc_id").alias("_wanted")).agg(F.min("run").alias("_run"))
+    wanted = files.select(C("sha256").alias("_asked")).distinct().join(first, C("_asked") == C("_wanted"))
+    return held.join(wanted, (held.doc_id == C("_wanted")) & (C("run") == C("_run")), "left_semi").drop("run")
 
 
 def with_ocr(pages: DataFrame, engine: Callable[[bytes], str] | None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Outputs: one folder per table, CSV and JSON lines for review, and a spreadsheet only where its library is there."""
+"""Outputs: one folder per table, CSV and JSON lines for review, formats of columns; workbook.py writes spreadsheets."""
 
 from __future__ import annotations
 
@@ -39,19 +39,6 @@ def write_review(review: DataFrame, folder: str) -> None:
     text.write.mode("overwrite").json(f"{folder}/extraction_warnings_jsonl")
 
 
-def write_workbook(tables: dict[str, DataFrame], path: str, most_rows: int = 1_000_000) -> None:
-    """A spreadsheet of small tables; raises if its library isn't installed or a sheet would be larger than a sheet can be."""
-    import pandas as pd
-
-    with pd.ExcelWriter(path) as writer:
-        for name in SHEETS:
-            if name in tables:
-                rows = tables[name].limit(most_rows + 1).toPandas()
-                if len(rows) > most_rows:
-                    raise ValueError(f"{name} is larger than a sheet")
-                rows.to_excel(writer, sheet_name=name, index=False)
-
-
 def write_summary(lines: DataFrame, folder: str) -> None:
     """summary_lines as text, in order over the part files."""
     lines.orderBy("section", "key").select("line").write.mode("overwrite").text(folder)

@@ -180,6 +180,8 @@ def test_summary(spark):
     got = {r.rule: (r.n, r.tickers, r.reasons, r.more) for r in SM.warning_groups(rows).collect()}
     assert got == {"r1": (4, "A, B", "y | z | x", 1), "r2": (1, "C", "x", 0)}
     assert "- n: 2" in SM.markdown("t", {"s": [{"n": 2}], "e": []})
+    many = spark.range(200_000).selectExpr("'r' as rule", "cast(id % 3 as string) as ticker", "concat('reason ', id) as reason", "200000 - id as ord")
+    assert [tuple(r) for r in SM.warning_groups(many).collect()] == [("r", 200_000, "0, 1, 2", "reason 199999 | reason 199998 | reason 199997", 199_997)]
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -221,7 +223,9 @@ def test_stream_upsert(spark, tmp_path):
         spark.createDataFrame(rows, s).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         q = daily.upsert_stream(spark.readStream.schema(s).parquet(str(tmp_path / "in")), target, str(tmp_path / "state")).trigger(availableNow=True).start()
         q.awaitTermination()
-    assert {(r.trading_date, r.share_volume) for r in spark.read.parquet(target).collect()} == {(D(2026, 1, 1), 2.0), (D(2026, 1, 2), 3.0)}
+    from plumbline.streaming import versions
+
+    assert {(r.trading_date, r.share_volume) for r in versions.read(spark, target, s).collect()} == {(D(2026, 1, 1), 2.0), (D(2026, 1, 2), 3.0)}
 
 
 def test_entry_runs(spark):
