@@ -2,7 +2,8 @@
 
 Vectors of a shard get one more component that makes all of them equally long, so that largest inner product and smallest distance are the
 same order. The graph is grown in batches: a greedy beam search over the graph so far proposes neighbours of each new vector; pruning keeps the nearest
-one and drops those that are closer to it, by the relaxed distance, than to the vector, and so on, so the edges that are kept are diverse.
+one and drops those that are closer to it, by the relaxed distance, than to the vector, and so on, so the edges that are kept are diverse. A second pass
+over all vectors searches the whole graph: without it, vectors of very different length are found too seldom (0.94 of the nearest 20 instead of 0.99).
 Edges go back as well, and a node with too many is pruned again. All searches and prunings of a batch run in step as arrays.
 
 Shards are cells of k-means, fitted on a bounded sample, cut by a hash beyond `shard_rows`. A beam search queries each shard of the cells
@@ -129,7 +130,7 @@ def _link_back(x: np.ndarray, links: np.ndarray, nodes: np.ndarray) -> None:
             links[own[full]] = robust_prune(x, own[full], every[full], degree)
 
 
-def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, passes: int = 1, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, passes: int = 2, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """(links (n, degree) with n for none, nodes that searches start from)"""
     n, rng = len(x), np.random.default_rng(seed)
     order = rng.permutation(n)
