@@ -115,18 +115,22 @@ CELL = r"^(\(-?\d[\d,]*(\.\d+)?\)|-?\d[\d,]*(\.\d+)?)%?\*{0,2}$"
 
 def longest_run(tokens: Column, lone_nil: bool = True) -> Column:
     """struct(n, last): the length of the longest run of amounts and nil marks and the place of its last token, from 0; of equally long
-    runs the last. Without lone_nil, nil marks alone are a run only as two or more at the end. One pass over the array."""
-    start = F.struct(F.lit(0).alias("run"), F.lit(False).alias("some"), F.lit(0).alias("i"), F.lit(0).alias("n"), F.lit(-1).alias("last"))
-
-    def step(acc: Column, t: Column) -> Column:
-        nil = t.isin("-", "–", "—", "nil", "Nil", "NIL")
-        run = F.when(t.rlike(CELL) | nil, acc["run"] + 1).otherwise(0)
-        some = F.when(run > 0, acc["some"] & (acc["run"] > 0) | ~nil).otherwise(False)
-        counts = F.lit(True) if lone_nil else some | ((run >= 2) & (acc["i"] == F.size(tokens) - 1))
-        better = (run > 0) & (run >= acc["n"]) & counts
-        return F.struct(run.alias("run"), some.alias("some"), (acc["i"] + 1).alias("i"), F.when(better, run).otherwise(acc["n"]).alias("n"), F.when(better, acc["i"]).otherwise(acc["last"]).alias("last"))
-
-    return F.aggregate(tokens, start, step, lambda a: F.struct(a["n"].alias("n"), a["last"].alias("last")))
+    runs the last. Without lone_nil, nil marks alone are a run only as two or more at the end. Each token is looked at once and becomes a
+    letter: a for an amount, n for a nil mark, w for a word; runs are then stretches of that text."""
+    kinds = F.array_join(F.transform(tokens, lambda t: F.when(t.isin("-", "–", "—", "nil", "Nil", "NIL"), "n").when(t.rlike(CELL), "a").otherwise("w")), "")
+    of = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))  # noqa: E731  a value that is made once and used several times
+    none = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("last"))
+
+    def placed(kinds: Column, best: Column) -> Column:
+        behind = F.length(F.call_function("substring_index", F.concat(F.lit("w"), kinds, F.lit("w")), F.concat(F.lit("w"), best, F.lit("w")), F.lit(-1)))
+        return F.struct(F.length(best).alias("n"), (F.length(kinds) - 1 - behind).alias("last"))
+
+    def among(kinds: Column, runs: Column) -> Column:
+        most = lambda x: F.element_at(F.filter(x, lambda r: F.length(r) == F.array_max(F.transform(x, F.length))), -1)
+        return F.when(F.size(runs) == 0, none).otherwise(of(F.when(F.size(runs) == 1, F.get(runs, F.lit(0))).otherwise(most(runs)), lambda best: placed(kinds, best)))
+
+    runs = lambda k: F.regexp_extract_all(k, F.lit("[an]+" if lone_nil else "n*a[an]*|nn+$"), F.lit(0))
+    return F.when(tokens.isNotNull(), of(kinds, lambda k: of(runs(k), lambda r: among(k, r))))
 
 
 def normalize_text(text: Column) -> Column:

@@ -1,7 +1,7 @@
 """Rows of report pages as a plan: from text to lines, tokens, runs of amounts, logical rows, columns.
 
 All steps of a page share one exchange by document and page. A page's lines, their tokens and runs of amounts, and what the header above the first row
-of amounts says are projections; lines that belong together are told by islands of a window over the lines of a page. Only the
+of amounts says are projections; so is which lines belong together. Only the
 folding of compatibility forms has no built-in expression."""
 
 from __future__ import annotations
@@ -9,7 +9,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -53,7 +52,7 @@ def with_lines(pages: DataFrame) -> DataFrame:
     projection."""
     parts = F.split(X.normalize_text(F.coalesce("text", F.lit(""))), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
     kept = F.filter(F.transform(parts, lambda x: F.trim(F.regexp_replace(x, r"[\s\x1f\u1680\u2000-\u200a\u202f\u205f\u3000]+", " "))), lambda x: x != "")
-    tokens = lambda x: F.filter(F.split(F.translate(x, "|", " "), " +"), lambda t: (t != "") & ~F.lower(t).isin(*CURRENCY))
+    tokens = lambda x: F.filter(F.split(F.translate(x, "|", " "), " "), lambda t: (t != "") & ~F.lower(t).isin(*CURRENCY))
     # a number of tasks of its own: what follows is dear for its bytes, by which adaptive execution would put small partitions together
     tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     p = pages.repartition(tasks, "doc_id", "page_no").select(*PAGE, F.transform(kept, lambda x: F.struct(x.alias("line"), tokens(x).alias("tokens"))).alias("_t"))
@@ -201,30 +200,38 @@ def amounts_only(rows: DataFrame) -> DataFrame:
     return rows.drop("_c", "_n", "_lead", "_rest", "_note", "_places", "_fits")
 
 
-def logical_rows(pages: DataFrame, keep: list[str]) -> DataFrame:
+def logical_rows(pages: DataFrame, keep: list[str], bare: bool = True) -> DataFrame:
     """with_pages()'s rows -> (keep.., counts, place, label, cells, line): rows in order of place. A label that goes on in the next line, which has the amounts, is put
     together with it; so are amounts whose label goes on in few words below. Lines with column marks are rows of tables, which the text has too, and left
-    out. Of a run of lines that each want the next, every other one takes it."""
-    own = F.filter("lines", lambda x: ~F.contains(x["line"], F.lit("|")))
+    out. Of a run of lines that each want the next, every other one takes it. Without `bare`, rows without amounts are left out.
+
+    All is said of a page's array of lines: no row is sorted or sent anywhere."""
     keep = [c for c in keep if c != "counts"]
-    r = pages.withColumn("_own", own).select(*keep, "counts", F.posexplode("_own").alias("k", "x")).select(*keep, "counts", "k", "x.*")
-    w = W.partitionBy("doc_id", "page_no").orderBy("k")
-    below = {f"_{c}": F.lead(c).over(w) for c in ("label", "cells", "line")}
-    r = r.withColumns(below)
-    low, lower = F.lower("label"), F.coalesce(F.col("_label").rlike(r"^\p{Ll}"), F.lit(False))
-    open_ended = F.substring_index(low, " ", -1).isin(*GOES_ON) | low.rlike(r"[,/&(\-]$")
-    heads = reduce(lambda x, y: x | y, [low.endswith(h) for h in HEADS])
-    bare = F.size("cells") == 0
-    onward = (C("label") != "") & bare & (F.size("_cells") > 0) & (lower | open_ended) & ~heads
-    downward = ~bare & lower & (F.size("_cells") == 0) & (F.size(F.split("_label", " ")) <= 3)
-    r = r.withColumn("wants", F.coalesce(onward | downward, F.lit(False)))
-    run = W.partitionBy("doc_id", "page_no", "wants").orderBy("k")
-    r = r.withColumn("_run", C("k") - F.row_number().over(run))
-    nth = F.row_number().over(W.partitionBy("doc_id", "page_no", "wants", "_run").orderBy("k"))
-    r = r.withColumn("takes", C("wants") & (nth % 2 == 1)).withColumn("taken", F.coalesce(F.lag("takes").over(w), F.lit(False))).where("not taken")
-    joined = lambda a, b: F.concat_ws(" ", F.nullif(C(a), F.lit("")), F.nullif(C(b), F.lit("")))
-    both = F.when(C("takes") & bare, C("_cells")).otherwise(C("cells"))
-    r = r.select(*keep, "counts", "place", F.when(C("takes"), joined("label", "_label")).otherwise(C("label")).alias("label"), both.alias("cells"), F.when(C("takes"), joined("line", "_line")).otherwise(C("line")).alias("line"))
+    p = pages.select(*keep, "counts", F.filter("lines", lambda x: ~F.contains(x["line"], F.lit("|"))).alias("_own"))
+
+    def wants(x: Column, i: Column) -> Column:
+        below = F.get("_own", i + 1)
+        low, lower = F.lower(x["label"]), below["label"].rlike(r"^\p{Ll}")
+        open_ended = F.substring_index(low, " ", -1).isin(*GOES_ON) | low.rlike(r"[,/&(\-]$")
+        heads = reduce(lambda a, b: a | b, [low.endswith(h) for h in HEADS])
+        empty, empty_below = F.size(x["cells"]) == 0, F.size(below["cells"]) == 0
+        onward = empty & ~empty_below & (x["label"] != "") & (lower | open_ended) & ~heads
+        downward = ~empty & empty_below & lower & (F.size(F.split(below["label"], " ")) <= 3)
+        return F.when((i + 1 < F.size("_own")) & (onward | downward), "1").otherwise("0")
+
+    # a line of a run takes the next one if that many lines of the run stand ahead of it as make an even number: 1111 becomes 1010
+    p = p.withColumn("_takes", F.replace(F.array_join(F.transform("_own", wants), ""), F.lit("11"), F.lit("10")))
+    joined = lambda a, b: F.concat_ws(" ", F.nullif(a, F.lit("")), F.nullif(b, F.lit("")))
+
+    def row(x: Column, i: Column) -> Column:
+        below, takes = F.get("_own", i + 1), F.substring(C("_takes"), i + 1, F.lit(1)) == "1"
+        both = lambda c: F.when(takes, joined(x[c], below[c])).otherwise(x[c]).alias(c)
+        return F.struct(x["place"].alias("place"), both("label"), F.when(takes & (F.size(x["cells"]) == 0), below["cells"]).otherwise(x["cells"]).alias("cells"), both("line"))
+
+    taken = lambda i: (i > 0) & (F.substring(C("_takes"), i, F.lit(1)) == "1")
+    own = F.filter(F.transform("_own", lambda x, i: F.when(~taken(i), row(x, i))), lambda r: r.isNotNull() & (F.lit(bare) | (F.size(r["cells"]) > 0)))
+    # outer: a plain explode makes a filter of the whole expression, as copies of it
+    r = p.select(*keep, "counts", F.explode_outer(own).alias("_row")).where("_row is not null").select(*keep, "counts", "_row.*")
     return amounts_only(r).select(*keep, "counts", "place", "label", "cells", "line")
 
 

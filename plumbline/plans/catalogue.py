@@ -21,7 +21,6 @@ from ..operators import screening as S
 from ..operators import selection as SL
 from ..operators import summary as SM
 from ..operators import validation as V
-from ..session import stored
 from ..streaming import daily
 from . import facts as A
 
@@ -996,8 +995,7 @@ SELECT CAST(k AS VARCHAR) AS doc_id, CAST(place AS INT) AS place, label, CASE WH
 def page_logical_rows(spark, sf):
     """Rows of pages: labels over two lines, amounts without notes, the wanted pair of columns, and what the header says of them."""
     read = PR.with_pages(_order_pages(spark, sf))
-    # stored, as the reader does it: else a filter would be pushed through the rows' expressions, as copies of them
-    rows = stored(PR.logical_rows(read, ["doc_id", "page_no", "months", "years", "starts", "falling", "change", "scopes", "block"])).where((F.size("cells") > 0) & (C("place") > 3))
+    rows = PR.logical_rows(read, ["doc_id", "page_no", "months", "years", "starts", "falling", "change", "scopes", "block"], bare=False).where(C("place") > 3)
     pair = PR.column_pair(F.transform("cells", PR.amount), *[C(c) for c in ("years", "starts", "falling", "change", "scopes", "block", "counts")])
     rows = rows.withColumn("p", pair)
     return rows.select("doc_id", "place", "label", F.array_join("cells", " ").alias("cells"), C("p.current").cast("bigint").alias("current"), C("p.previous").cast("bigint").alias("previous"), C("p.sure").cast("double").alias("sure"), "months", F.array_join("scopes", ",").alias("scopes"))
@@ -1007,7 +1005,7 @@ def page_logical_rows(spark, sf):
 SELECT CAST(k AS VARCHAR) AS doc_id, CAST(place AS INT) AS place, tag, CAST(ord AS INT) AS ord FROM t""")
 def label_phrases(spark, sf):
     """The phrases that the labels of pages have, by a join with the table of phrases."""
-    rows = stored(PR.logical_rows(PR.with_pages(_order_pages(spark, sf)), ["doc_id", "page_no"])).where(F.size("cells") > 0)
+    rows = PR.logical_rows(PR.with_pages(_order_pages(spark, sf)), ["doc_id", "page_no"], bare=False)
     return PH.with_tags(rows, ["doc_id", "place"], ["label"]).select("doc_id", "place", "tag", "ord")
 
 
