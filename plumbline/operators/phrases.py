@@ -119,10 +119,11 @@ def with_tags(rows: DataFrame, keys: list[str], carry: list[str], label: str = "
     """(keys, tag, ord, carry..): the phrases that each row's label has, the best order of a tag. What stands to the right of amounts begins no label."""
     table = F.broadcast(phrase_table(rows.sparkSession))  # some 170 rows
     said = rows.select(*keys, F.struct(*carry).alias("_row"), words(C(label)).alias("_w"), (~C(label).rlike(r"^\(?-?[0-9][0-9,]{2}")).alias("_starts"))
-    said = said.withColumn("_words", F.split("_w", " ")).select("*", F.posexplode("_words").alias("_at", "_word"))
+    said = said.withColumn("_words", F.split("_w", " ")).select("*", F.posexplode_outer("_words").alias("_at", "_word"))
     rest = F.concat(F.array_join(F.slice("_words", C("_at") + 1, F.size("_words")), " "), F.lit(" "))
     padded = lambda x: F.concat(F.lit(" "), x, F.lit(" "))
-    tail = said.withColumn("_tail", rest).join(table, C("_word") == C("head")).where(C("_tail").startswith(F.concat("phrase", F.lit(" "))))
+    # the rest of a label is made only where a phrase begins
+    tail = said.join(table, C("_word") == C("head")).withColumn("_tail", rest).where(C("_tail").startswith(F.concat("phrase", F.lit(" "))))
     begins = C("_starts") & F.forall(F.slice("_words", F.lit(1), C("_at")), lambda w: F.array_contains(C("before"), w))
     behind = F.concat(F.lit(" "), F.substring(C("_tail"), F.length("phrase") + 2, F.length("_tail")))
     fits = (C("anywhere") | begins) & ((C("later") == "") | F.contains(behind, padded(C("later")))) & ~F.exists("barred", lambda b: F.contains(padded(C("_w")), padded(b)))
