@@ -1,8 +1,10 @@
 import random
+import time
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from plumbline.llm import embed_dedup, graph, packing, simhash, substring
 from plumbline.llm.queries import tokenizer_file
@@ -107,6 +109,46 @@ def test_embeddings_across_cells_and_tiles(spark):
         assert got == {i: (int(close[i].sum()), want[i], want[i] == i) for i in range(len(x))}
 
 
+def test_guests_go_one_way_and_cells_in_passes(spark):
+    """Without clusters a vector is a guest of most cells: pairs of cells meet once, and no pass sends many copies of a vector."""
+    for k in range(1, 12):
+        takes = embed_dedup._takes(np.arange(k), k)
+        assert (takes ^ takes.T)[~np.eye(k, dtype=bool)].all()
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(600, 8))
+    x[300:] = x[:300] + 0.05 * rng.normal(size=(300, 8))
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    close = u @ u.T >= 0.98
+    np.fill_diagonal(close, False)
+    want = roots(len(x), np.argwhere(close).tolist())
+    cells = {(0, 8): embed_dedup.spherical_kmeans(u, 20)}
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    nodes = spark.createDataFrame([(i, 0, 1, v.tolist()) for i, v in enumerate(x)], "node long, label long, mult long, v array<double>")
+    shared = spark.sparkContext.broadcast((cells, embed_dedup._radii(nodes, cells)))
+    whole = sorted((r.bucket, r.node) for r in embed_dedup._assign(nodes, shared, 0.98).collect())
+    parts = [[(r.bucket, r.node) for r in embed_dedup._assign(nodes, shared, 0.98, 5, turn).collect()] for turn in range(5)]
+    assert sorted(y for part in parts for y in part) == whole and max(map(len, parts)) < len(whole) / 2
+    for extra in ({"pass_copies": 1.5}, {"pass_copies": 0.5, "tile_rows": 20}):
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.embedding_components(table, cells=cells, **extra).collect()}
+        assert got == {i: (int(close[i].sum()), want[i]) for i in range(len(x))}
+
+
+def test_shuffles_of_a_step_go_with_its_end(spark):
+    import glob
+
+    from plumbline.llm.common import RELEASE, materialize
+
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before = files()
+    kept = materialize(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and kept.count() == 7 and spark.conf.get(RELEASE) == "false"
+
+
 def test_embeddings_defined_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None, 1), (2, [], 1), (3, [0.0, 0.0], 1), (4, [1.0, None], 1), (5, [nan, 1.0], 1), (6, [inf, 1.0], 1), (7, [1.0, 0.0], None), (8, [1.0, 0.0], 1), (8, [1.0, -0.0], 1), (9, [1.0, 0.0, 0.0], 1), (None, [0.0, 1.0], 1)]
