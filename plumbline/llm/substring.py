@@ -503,10 +503,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, matches: int = MATCHES
     found = _passages(id_and_text(docs), window, matches, drift, hashes).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct("start_char", "end_char"))).alias("_cuts"))
     found = found.select(F.col("doc_id").alias("_of"), F.col("text_key").alias("_of_text"), "_cuts")
     # the row travels as one value, so that no column of docs can clash with those in between
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
-    out = rows.join(found, (F.col("_id") == F.col("_of")) & (F.xxhash64("_text") == F.col("_of_text")), "left")
-    cut = F.col("_cuts").isNotNull()
-    out = out.withColumn("_new", F.when(cut, _without(F.col("_text"), F.col("_cuts"))).otherwise(F.col("_text")))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_text_key"))
+    out = rows.join(found, (F.col("_id") == F.col("_of")) & (F.col("_text_key") == F.col("_of_text")), "left")
+    cut, text = F.col("_cuts").isNotNull(), F.col("_row.text").cast("string")
+    out = out.withColumn("_new", F.when(cut, _without(text, F.col("_cuts"))).otherwise(text))
     out = out.where(~cut | F.col("_new").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col("_new"), "n_chars": F.when(cut, F.length("_new").cast("long")).otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
     return out.select(*[changed[c].alias(c) if c in changed else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
